@@ -50,18 +50,24 @@ def weekly_counts_from_daily(daily: DataFrame, key: str, mode: str = "calendar")
 def build_reports(
     logs: DataFrame, k: int = 5, mode: str = "calendar"
 ) -> tuple[dict[str, DataFrame], list[DataFrame]]:
-    """All four reports from one set of daily counts.
+    """All four reports from one scan of the logs.
 
-    Returns the reports and the persisted daily counts; unpersist those
-    when the reports are written.
+    One aggregation counts rows per (day, ip, device); the daily ip and
+    device counts are sums over it, and the weekly counts sums over those.
+    Returns the reports and the persisted intermediate counts; unpersist
+    those once the reports are written.
     """
+    base = count_by(logs.select("process_date", "ip", "device_type"), "process_date",
+                    ["ip", "device_type"]).persist()
+    cached = [base]
     reports: dict[str, DataFrame] = {}
-    cached: list[DataFrame] = []
     for key, daily_name, weekly_name in (
         ("ip", "daily_top_ips", "weekly_top_ips"),
         ("device_type", "daily_top_devices", "weekly_top_devices"),
     ):
-        daily = count_by(logs.select("process_date", key), "process_date", key).persist()
+        daily = (
+            base.groupBy("process_date", key).agg(F.sum(COUNT_COL).alias(COUNT_COL)).persist()
+        )
         cached.append(daily)
         reports[daily_name] = top_k_of_counts(daily, "process_date", key, k)
         weekly = weekly_counts_from_daily(daily, key, mode)

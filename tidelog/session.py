@@ -15,6 +15,19 @@ from pyspark.sql import SparkSession
 
 _CHECKPOINT_CONF = "spark.checkpoint.dir"
 
+# Session settings the jobs are designed for (pass to the builder).  AQE
+# sizes shuffle partitions at run time, splits skewed partitions of
+# REBALANCE writes and joins; the small minimum partition size only matters
+# for small inputs, where it keeps enough writer tasks busy.
+RECOMMENDED_CONF = {
+    "spark.sql.session.timeZone": "UTC",
+    "spark.sql.adaptive.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "256k",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.files.maxPartitionBytes": "128m",
+}
+
 
 def configure_session(spark: SparkSession, time_zone: str = "UTC") -> SparkSession:
     spark.conf.set("spark.sql.session.timeZone", time_zone)

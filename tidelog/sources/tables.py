@@ -69,13 +69,22 @@ def create_table(
     fmt: str = "parquet",
     cluster: bool = True,
 ) -> str:
-    """First write of a table (CTAS)."""
+    """First write of a table (CTAS).
+
+    For a V1 table the empty table is created first and the rows are then
+    inserted: the insert registers exactly the partitions it writes, where a
+    partitioned ``saveAsTable`` re-discovers every partition directory after
+    the write.  A failed insert leaves an empty table that a re-run fills.
+    """
     data = clustered(df, partition_cols) if cluster else df
     if fmt in V1_FORMATS:
-        writer = data.write.format(fmt)
+        spark = df.sparkSession
+        # schema only: the input plan is not executed for the empty table
+        writer = spark.createDataFrame([], df.schema).write.format(fmt)
         if partition_cols:
             writer = writer.partitionBy(*partition_cols)
         writer.saveAsTable(name)
+        data.select(*spark.table(name).columns).write.insertInto(name)
     else:
         writer = data.writeTo(name).using(fmt)
         if partition_cols:
