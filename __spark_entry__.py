@@ -451,6 +451,16 @@ def q_full_run(spark, sf):
     return union_reports(read_reports(spark, cfg))
 
 
+def q_ingest_stream(spark, sf):
+    from tidelog.streaming.ingest import read_ingested, run_ingest_stream
+
+    inbox = _written_lines(spark, sf, "stream-lines")
+    root = scratch_path(spark, "stream")
+    cfg = LogConfig(input_paths=[inbox])
+    run_ingest_stream(spark, cfg, f"{root}/out", f"{root}/checkpoint")
+    return _raw_out(read_ingested(spark, f"{root}/out", cfg), with_id=False)
+
+
 def q_list_tables(spark, sf):
     db = _scratch_db(spark, "list")
     create_table(_logs(spark, sf), f"{db}.raw_logs", ["process_date", "hour"])
@@ -540,6 +550,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "ingest_job": q_ingest_job,
             "transform_job": q_transform_job,
             "full_run": q_full_run,
+            "ingest_stream": q_ingest_stream,
             # layout- or catalog-dependent: rows-only checks
             "partition_counts": q_partition_counts,
             "partition_skew": q_partition_skew,
@@ -799,6 +810,7 @@ def oracle_sql() -> dict[str, str]:
             "ingest_job": raw_no_id,
             "transform_job": enriched_no_id,
             "full_run": _union_reports_sql(),
+            "ingest_stream": raw_no_id,
         }
     )
     return out
