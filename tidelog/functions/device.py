@@ -27,15 +27,26 @@ NULL_DEVICE = "Unknown"
 SQL_FUNCTION_NAME = "extract_device_type"
 
 
-def device_type(user_agent: Column | str) -> Column:
-    ua = F.col(user_agent) if isinstance(user_agent, str) else user_agent
-    lowered = F.lower(ua)
-    expr = F.when(ua.isNull(), F.lit(NULL_DEVICE))
+def device_of_lowered(lowered: Column | str) -> Column:
+    """Device class of an already lower-cased agent (NULL stays Unknown)."""
+    lowered = F.col(lowered) if isinstance(lowered, str) else lowered
+    expr = F.when(lowered.isNull(), F.lit(NULL_DEVICE))
     for needle, label in DEVICE_RULES:
         expr = expr.when(lowered.contains(needle), F.lit(label))
     return expr.otherwise(F.lit(DEFAULT_DEVICE))
 
 
+def device_type(user_agent: Column | str) -> Column:
+    """Device class of a user-agent string.
+
+    Spark does not share ``lower(agent)`` between CASE arms; a DataFrame
+    operator that classifies many rows should project the lower-cased agent
+    once and use ``device_of_lowered`` (as ``enrich_logs`` does).
+    """
+    ua = F.col(user_agent) if isinstance(user_agent, str) else user_agent
+    return device_of_lowered(F.lower(ua))
+
+
 def device_case_sql(arg: str) -> str:
     """The rule list as a SQL CASE over the string expression ``arg``."""
     arms = [f"WHEN {arg} IS NULL THEN '{NULL_DEVICE}'"]
