@@ -72,11 +72,11 @@ def ingest(spark: SparkSession, cfg: LogConfig) -> JobResult:
     """Text files -> parsed ``raw_logs`` table partitioned by (day, hour)."""
     configure_session(spark, cfg.time_zone)
     create_database(spark, cfg.database, cfg.database_location)
-    parsed, obs = _observed(parsed_lines(spark, cfg), "ingest")
+    # observed above the layout shuffle, in the write stage: a shuffle stage
+    # recomputed after a lost executor would count its rows again
+    laid, obs = _observed(_layout(parsed_lines(spark, cfg), cfg), "ingest")
     # the layout decides clustering; the writer adds no second shuffle
-    write_partitioned(
-        _layout(parsed, cfg), cfg.raw_table_name, LOG_PARTITIONS, cfg.table_format, cluster=False
-    )
+    write_partitioned(laid, cfg.raw_table_name, LOG_PARTITIONS, cfg.table_format, cluster=False)
     m = obs.get
     return JobResult(m["rows"], m["malformed"], {"raw": cfg.raw_table_name})
 
