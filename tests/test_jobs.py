@@ -86,3 +86,19 @@ def test_empty_input_gives_empty_reports(spark):
     finally:
         for df in cached:
             df.unpersist()
+
+
+def test_metrics_path_and_previews(spark):
+    from tidelog.operators.metrics import metrics_by_type, read_metrics_json
+    from tidelog.plans.reports import preview_tables
+
+    cfg = _cfg(spark)
+    path = scratch_path(spark, "tests-run-metrics")
+    run_all(spark, cfg, metrics_path=path)
+    back = read_metrics_json(spark, path)
+    assert sorted(r.name for r in back.collect()) == ["analytics", "ingestion", "transformation"]
+    assert metrics_by_type(back).first()["count"] == 3
+    previews = preview_tables(spark, cfg, 5)
+    assert all(df.count() == 5 for df in previews.values())
+    first = previews["raw_logs"].first()
+    assert first.timestamp is None  # malformed lines (NULL time) sort first

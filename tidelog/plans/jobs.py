@@ -19,7 +19,7 @@ from tidelog.functions.device import register_device_function
 from tidelog.functions.parse import parse_logs
 from tidelog.operators.enrich import enrich_logs
 from tidelog.operators.layout import apply_layout
-from tidelog.operators.metrics import MetricsRecorder
+from tidelog.operators.metrics import MetricsRecorder, write_metrics_json
 from tidelog.plans.reports import build_reports, write_reports
 from tidelog.session import configure_session
 from tidelog.sources.tables import create_database, read_table, write_partitioned
@@ -114,10 +114,18 @@ def report(spark: SparkSession, cfg: LogConfig) -> JobResult:
 
 
 def run_all(
-    spark: SparkSession, cfg: LogConfig, recorder: MetricsRecorder | None = None
+    spark: SparkSession,
+    cfg: LogConfig,
+    recorder: MetricsRecorder | None = None,
+    metrics_path: str | None = None,
 ) -> dict[str, JobResult]:
-    """The full run: ingest, transform, reports (each timed)."""
+    """The full run: ingest, transform, reports.
+
+    Each job is timed into ``recorder``; with ``metrics_path`` the records of
+    this run are appended there as JSON lines (``read_metrics_json``).
+    """
     recorder = recorder or MetricsRecorder()
+    first = len(recorder.records)
     out = {}
     with recorder.timed("ingestion", "job"):
         out["ingest"] = ingest(spark, cfg)
@@ -125,4 +133,8 @@ def run_all(
         out["transform"] = transform(spark, cfg)
     with recorder.timed("analytics", "job"):
         out["report"] = report(spark, cfg)
+    if metrics_path:
+        run = MetricsRecorder()
+        run.records = recorder.records[first:]
+        write_metrics_json(run.to_df(spark), metrics_path)
     return out

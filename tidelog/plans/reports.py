@@ -96,6 +96,18 @@ def read_reports(spark: SparkSession, cfg: LogConfig) -> dict[str, DataFrame]:
     return out
 
 
+def preview_tables(spark: SparkSession, cfg: LogConfig, n: int = 5) -> dict[str, DataFrame]:
+    """The first ``n`` rows of the raw and processed tables, in time order
+    (ties by address and request text), for a quick look."""
+    from tidelog.operators.render import preview
+
+    order = ["timestamp", "ip", "timestamp_str", "endpoint", "status", "bytes"]
+    return {
+        "raw_logs": preview(read_table(spark, cfg.raw_table_name), n, order),
+        "processed_logs": preview(read_table(spark, cfg.processed_table_name), n, order),
+    }
+
+
 def union_reports(reports: dict[str, DataFrame]) -> DataFrame:
     """The reports stacked as ``(report, period, key, request_count)``."""
     parts = []
