@@ -48,7 +48,12 @@ def test_counts_sum_to_rows(spark):
 def test_window_group_limit_in_plan(spark):
     df = spark.createDataFrame([("d", "k")], "p string, k string")
     plan = plan_text(top_k_per_group(df, "p", "k", 5))
-    assert "WindowGroupLimit" in plan
+    # the partial limit runs before the shuffle on the period: a hot period
+    # receives at most k rows per upstream task
+    exchange = plan.index("Exchange hashpartitioning(p#")
+    partial = plan.index("WindowGroupLimit", plan.index("Exchange hashpartitioning(p#"))
+    assert "Partial" in plan[partial : plan.index("\n", partial)]
+    assert partial > exchange  # printed below it, i.e. executed before it
 
 
 def test_large_k_uses_distributed_rank(spark):
