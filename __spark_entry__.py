@@ -38,7 +38,7 @@ from tidelog.functions.parse import (
 )
 from tidelog.functions.periods import day_bucket, hour_bucket, week_bucket, year_week
 from tidelog.operators.enrich import enrich_logs
-from tidelog.operators.layout import apply_layout, estimate_rows
+from tidelog.operators.layout import apply_layout, count_rows, estimate_rows
 from tidelog.operators.metrics import (
     events_as_metrics,
     metrics_by_type,
@@ -298,11 +298,11 @@ def q_top_suppliers_per_month(spark, sf):
 
 
 def q_count_logs(spark, sf):
-    return _logs(spark, sf).agg(F.count(F.lit(1)).alias("count"))
+    return count_rows(_logs(spark, sf))
 
 
 def q_count_records(spark, sf):
-    return _enriched(spark, sf).agg(F.count(F.lit(1)).alias("count"))
+    return count_rows(_enriched(spark, sf))
 
 
 def q_estimate_rows(spark, sf):

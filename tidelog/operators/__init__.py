@@ -2,7 +2,7 @@
 metrics summaries and rendering."""
 
 from tidelog.operators.enrich import enrich_logs
-from tidelog.operators.layout import apply_layout, estimate_row_count, estimate_rows
+from tidelog.operators.layout import apply_layout, count_rows, estimate_row_count, estimate_rows
 from tidelog.operators.metrics import metrics_by_type, metrics_totals
 from tidelog.operators.skew import key_skew, partition_counts, partition_extremes, partition_skew
 from tidelog.operators.topk import (
@@ -17,6 +17,7 @@ from tidelog.operators.topk import (
 __all__ = [
     "apply_layout",
     "count_by",
+    "count_rows",
     "enrich_logs",
     "estimate_row_count",
     "estimate_rows",

@@ -18,6 +18,12 @@ from pyspark.sql import functions as F
 LAYOUTS = ("rebalance", "dynamic", "off")
 
 
+def count_rows(df: DataFrame, name: str = "count") -> DataFrame:
+    """One row with the exact row count (a global aggregate: each task
+    counts its rows, one number per task is combined)."""
+    return df.agg(F.count(F.lit(1)).alias(name))
+
+
 def estimate_rows(df: DataFrame, fraction: float = 0.01, seed: int = 42) -> DataFrame:
     """One row ``estimated_rows``: count of a Bernoulli sample / fraction.
 

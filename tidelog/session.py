@@ -35,6 +35,9 @@ def configure_session(spark: SparkSession, time_zone: str = "UTC") -> SparkSessi
 
 
 def _checkpoint_dir(spark: SparkSession) -> str | None:
+    configured = spark.conf.get(_CHECKPOINT_CONF, None)
+    if configured:
+        return configured.rstrip("/")
     sc = spark.sparkContext
     configured = sc.getConf().get(_CHECKPOINT_CONF, None)
     if configured:
