@@ -444,10 +444,10 @@ def q_transform_job(spark, sf):
 
 
 def q_full_run(spark, sf):
+    from tidelog.plans.jobs import run_all
+
     cfg = _job_cfg(spark, sf, "full")
-    ingest(spark, cfg)
-    transform(spark, cfg)
-    report(spark, cfg)
+    run_all(spark, cfg)  # incremental: transform / reports follow the ingested days
     return union_reports(read_reports(spark, cfg))
 
 

@@ -5,18 +5,24 @@ partition overwrite (re-running the same input is idempotent) and returns
 row counts gathered with ``observe`` during the write - no extra scan.
 Lineage is cut at every table, so a lost executor only re-runs tasks of the
 current job.
+
+Runs are incremental: ingest also observes which days it wrote, transform
+then re-processes only those day partitions and the reports recompute only
+those days and the weeks that contain them.  The day filters are partition
+filters, so untouched history is never listed or read.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.config import LogConfig
 from tidelog.functions.device import register_device_function
 from tidelog.functions.parse import parse_logs
+from tidelog.functions.periods import year_week_of_day
 from tidelog.operators.enrich import enrich_logs
 from tidelog.operators.layout import apply_layout
 from tidelog.operators.metrics import MetricsRecorder, write_metrics_json
@@ -33,16 +39,51 @@ class JobResult:
     rows: int = 0
     malformed: int = 0
     tables: dict[str, str] = field(default_factory=dict)
+    # days (process_date values) written by an ingest; None when not tracked
+    days: list[str] | None = None
 
 
-def _observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation]:
+def _observed(
+    df: DataFrame, name: str, track_days: bool = False
+) -> tuple[DataFrame, Observation]:
     obs = Observation(name)
-    out = df.observe(
-        obs,
+    metrics = [
         F.count(F.lit(1)).alias("rows"),
         F.count_if(F.col("timestamp").isNull()).alias("malformed"),
-    )
-    return out, obs
+    ]
+    if track_days:
+        # one value per distinct day in the batch: bounded by its time span
+        metrics.append(F.collect_set("process_date").alias("days"))
+    return df.observe(obs, *metrics), obs
+
+
+def day_filter(days: list[str] | None, include_null: bool = True) -> Column | None:
+    """Partition filter selecting ``days`` (and the NULL day of malformed
+    lines); None selects everything."""
+    if days is None:
+        return None
+    cond = F.col("process_date").isin(list(days)) if days else F.lit(False)
+    if include_null:
+        cond = cond | F.col("process_date").isNull()
+    return cond
+
+
+def week_filter(
+    spark: SparkSession, days: list[str] | None, mode: str, include_null: bool = True
+) -> Column | None:
+    """Partition filter selecting every day of the year-weeks containing
+    ``days`` (a weekly count needs all of its days)."""
+    if days is None:
+        return None
+    labels = []
+    if days:
+        probe = spark.createDataFrame([(d,) for d in days], "d string")
+        week = year_week_of_day("d", mode)
+        labels = [r[0] for r in probe.select(week).distinct().collect() if r[0] is not None]
+    cond = year_week_of_day("process_date", mode).isin(labels) if labels else F.lit(False)
+    if include_null:
+        cond = cond | F.col("process_date").isNull()
+    return cond
 
 
 def _layout(df: DataFrame, cfg: LogConfig) -> DataFrame:
@@ -74,15 +115,23 @@ def ingest(spark: SparkSession, cfg: LogConfig) -> JobResult:
     create_database(spark, cfg.database, cfg.database_location)
     # observed above the layout shuffle, in the write stage: a shuffle stage
     # recomputed after a lost executor would count its rows again
-    laid, obs = _observed(_layout(parsed_lines(spark, cfg), cfg), "ingest")
+    laid, obs = _observed(_layout(parsed_lines(spark, cfg), cfg), "ingest", track_days=True)
     # the layout decides clustering; the writer adds no second shuffle
     write_partitioned(laid, cfg.raw_table_name, LOG_PARTITIONS, cfg.table_format, cluster=False)
     m = obs.get
-    return JobResult(m["rows"], m["malformed"], {"raw": cfg.raw_table_name})
+    return JobResult(
+        m["rows"], m["malformed"], {"raw": cfg.raw_table_name}, sorted(m["days"] or [])
+    )
 
 
-def transform(spark: SparkSession, cfg: LogConfig) -> JobResult:
-    """``raw_logs`` -> ``processed_logs`` (+ device_type, week).
+def transform(
+    spark: SparkSession,
+    cfg: LogConfig,
+    days: list[str] | None = None,
+    include_null: bool = True,
+) -> JobResult:
+    """``raw_logs`` -> ``processed_logs`` (+ device_type, week), for all days
+    or only ``days`` (plus the NULL day when ``include_null``).
 
     The input table is already partitioned by (day, hour) and every file
     holds one partition, so the rows go straight to the writer: no shuffle.
@@ -90,6 +139,9 @@ def transform(spark: SparkSession, cfg: LogConfig) -> JobResult:
     configure_session(spark, cfg.time_zone)
     register_device_function(spark)
     raw = read_table(spark, cfg.raw_table_name)
+    selected = day_filter(days, include_null)
+    if selected is not None:
+        raw = raw.filter(selected)
     enriched, obs = _observed(enrich_logs(raw), "transform")
     write_partitioned(
         enriched, cfg.processed_table_name, LOG_PARTITIONS, cfg.table_format, cluster=False
@@ -98,13 +150,29 @@ def transform(spark: SparkSession, cfg: LogConfig) -> JobResult:
     return JobResult(m["rows"], m["malformed"], {"processed": cfg.processed_table_name})
 
 
-def report(spark: SparkSession, cfg: LogConfig) -> JobResult:
-    """``processed_logs`` -> the four top-k report tables."""
+def report(
+    spark: SparkSession,
+    cfg: LogConfig,
+    days: list[str] | None = None,
+    include_null: bool = True,
+) -> JobResult:
+    """``processed_logs`` -> the four top-k report tables.
+
+    With ``days``, only the daily reports of those days and the weekly
+    reports of the weeks containing them are recomputed and overwritten.
+    """
     configure_session(spark, cfg.time_zone)
     logs = read_table(spark, cfg.processed_table_name).select(
         "process_date", "ip", "device_type"
     )
+    weeks = week_filter(spark, days, cfg.year_week, include_null)
+    if weeks is not None:
+        logs = logs.filter(weeks)
     reports, cached = build_reports(logs, cfg.top_k, cfg.year_week)
+    selected = day_filter(days, include_null)
+    if selected is not None:
+        for name in ("daily_top_ips", "daily_top_devices"):
+            reports[name] = reports[name].filter(selected)
     try:
         tables = write_reports(spark, reports, cfg)
     finally:
@@ -118,21 +186,26 @@ def run_all(
     cfg: LogConfig,
     recorder: MetricsRecorder | None = None,
     metrics_path: str | None = None,
+    incremental: bool = True,
 ) -> dict[str, JobResult]:
     """The full run: ingest, transform, reports.
 
-    Each job is timed into ``recorder``; with ``metrics_path`` the records of
-    this run are appended there as JSON lines (``read_metrics_json``).
+    ``incremental`` (default) limits transform and reports to the days the
+    ingest wrote; otherwise both re-process the whole tables.  Each job is
+    timed into ``recorder``; with ``metrics_path`` the records of this run
+    are appended there as JSON lines (``read_metrics_json``).
     """
     recorder = recorder or MetricsRecorder()
     first = len(recorder.records)
     out = {}
     with recorder.timed("ingestion", "job"):
         out["ingest"] = ingest(spark, cfg)
+    days = out["ingest"].days if incremental else None
+    include_null = out["ingest"].malformed > 0 if incremental else True
     with recorder.timed("transformation", "job"):
-        out["transform"] = transform(spark, cfg)
+        out["transform"] = transform(spark, cfg, days, include_null)
     with recorder.timed("analytics", "job"):
-        out["report"] = report(spark, cfg)
+        out["report"] = report(spark, cfg, days, include_null)
     if metrics_path:
         run = MetricsRecorder()
         run.records = recorder.records[first:]
