@@ -56,3 +56,35 @@ def test_estimate_rows_exact_at_fraction_one(spark):
     assert estimate_rows(spark.range(1234), 1.0).first().estimated_rows == 1234
     est = estimate_rows(spark.range(100000), 0.1, seed=1).first().estimated_rows
     assert 80000 < est < 120000
+
+
+def test_rebalance_splits_a_hot_partition(spark):
+    """One (day, hour) holds a third of the rows: the clustered write splits
+    it over several tasks (files) instead of one."""
+    import glob
+    import os
+
+    from tidelog.session import scratch_path
+    from tidelog.sources.tables import write_partitioned_path
+
+    n = 300_000
+    df = spark.range(n).select(
+        F.when(F.col("id") % 3 == 0, F.lit("2024-01-01"))
+        .otherwise(F.concat(F.lit("2024-02-"), F.lpad((F.col("id") % 28 + 1).cast("string"), 2, "0")))
+        .alias("process_date"),
+        F.lit("00").alias("hour"),
+        F.sha2(F.col("id").cast("string"), 256).alias("payload"),
+    )
+    path = scratch_path(spark, "tests-hot")
+    conf = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    old = spark.conf.get(conf)
+    spark.conf.set(conf, "1m")
+    try:
+        write_partitioned_path(df, path, ["process_date", "hour"])
+    finally:
+        spark.conf.set(conf, old)
+    hot = glob.glob(os.path.join(path, "process_date=2024-01-01", "hour=00", "*.parquet"))
+    cold = glob.glob(os.path.join(path, "process_date=2024-02-05", "hour=00", "*.parquet"))
+    assert len(hot) > 1 and len(cold) >= 1
+    back = spark.read.parquet(path)
+    assert back.count() == n

@@ -2,9 +2,9 @@
 
 Daily reports count (process_date, key); weekly reports count (year_week,
 key).  A day belongs to exactly one year-week, so ``build_reports`` counts
-each key per day once and rolls the daily counts up to weeks: the logs are
-scanned once per key instead of twice, and the weekly shuffle moves daily
-counts instead of log rows.
+(day, ip, device) in one scan of the logs, sums those into the two daily
+counts and rolls the daily counts up to weeks: the weekly shuffles move
+daily counts instead of log rows.
 """
 
 from __future__ import annotations
@@ -14,7 +14,13 @@ from pyspark.sql import functions as F
 
 from tidelog.config import LogConfig
 from tidelog.functions.periods import year_week, year_week_of_day
-from tidelog.operators.topk import COUNT_COL, count_by, sort_report, top_k_of_counts, top_k_per_group
+from tidelog.operators.topk import (
+    COUNT_COL,
+    count_by,
+    sort_report,
+    top_k_of_counts,
+    top_k_per_group,
+)
 from tidelog.sources.tables import read_table, write_partitioned
 
 # report name -> (period column, key column)
