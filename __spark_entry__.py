@@ -14,9 +14,17 @@ session's shared folder (``spark.checkpoint.dir``).
 
 from __future__ import annotations
 
+import os
+import sys
 import uuid
 from collections.abc import Callable
 
+# importable from any working directory (the package sits next to this file;
+# only the driver imports it - no Python runs inside tasks)
+_HERE = os.path.dirname(os.path.abspath(__file__))
+if _HERE not in sys.path:
+    sys.path.insert(0, _HERE)
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
