@@ -35,6 +35,10 @@ class LogConfig:
     max_partitions: int = 50
     target_rows_per_partition: int = 1_000_000
     salt_buckets: int = 8
+    # columns sorted inside each written file after the partition columns:
+    # min/max statistics then let filters on them skip row groups, and runs
+    # of equal values compress better
+    sort_within: tuple[str, ...] = ("ip",)
     time_zone: str = "UTC"
 
     def qualified(self, table: str) -> str:
