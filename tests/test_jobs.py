@@ -129,3 +129,21 @@ def test_incremental_runs_equal_full_recompute(spark):
     for name, (period, key) in REPORTS.items():
         direct = (daily_report if period == "process_date" else weekly_report)(processed, key, 5)
         assert stored[name] == _rows(direct), name
+
+
+def test_adhoc_over_job_tables_prunes_partitions(spark):
+    from tidelog.plans.adhoc import adhoc, job_views
+
+    cfg = _cfg(spark)
+    run_all(spark, cfg)
+    views = job_views(spark, cfg)
+    assert set(views) == {"raw_logs", "processed_logs", *REPORTS}
+    df = adhoc(
+        spark,
+        "SELECT device_type, COUNT(*) AS n FROM processed_logs "
+        "WHERE process_date = '2024-01-05' GROUP BY device_type",
+        views=views,
+    )
+    assert sum(r.n for r in df.collect()) > 0
+    scan = [l for l in plan_text(df).split("\n") if "FileScan" in l][0]
+    assert "PartitionFilters" in scan and "2024-01-05" in scan

@@ -20,3 +20,19 @@ def adhoc(
         df.createOrReplaceTempView(name)
     out = spark.sql(sql)
     return out.limit(limit) if limit is not None else out
+
+
+def job_views(spark: SparkSession, cfg) -> dict[str, DataFrame]:
+    """The job tables of ``cfg`` under their short names (``raw_logs``,
+    ``processed_logs`` and the four reports), for ``adhoc(..., views=...)``.
+    Views are lazy table scans: filters on ``process_date`` / ``hour`` in
+    the SQL still prune partitions."""
+    from tidelog.plans.reports import REPORTS
+
+    names = {cfg.raw_table: cfg.raw_table_name, cfg.processed_table: cfg.processed_table_name}
+    names.update({r: cfg.report_table_name(r) for r in REPORTS})
+    return {
+        short: spark.table(full)
+        for short, full in names.items()
+        if spark.catalog.tableExists(full.replace("`", ""))
+    }
