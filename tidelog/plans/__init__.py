@@ -1,11 +1,20 @@
 """Job plans: ingest, transform, reports, full run, ad-hoc SQL."""
 
-from tidelog.plans.adhoc import adhoc
-from tidelog.plans.jobs import JobResult, ingest, report, run_all, transform
+from tidelog.plans.adhoc import adhoc, job_views
+from tidelog.plans.jobs import (
+    JobResult,
+    day_filter,
+    ingest,
+    report,
+    run_all,
+    transform,
+    week_filter,
+)
 from tidelog.plans.reports import (
     REPORTS,
     build_reports,
     daily_report,
+    preview_tables,
     read_reports,
     union_reports,
     weekly_report,
@@ -16,6 +25,10 @@ __all__ = [
     "REPORTS",
     "JobResult",
     "adhoc",
+    "day_filter",
+    "job_views",
+    "preview_tables",
+    "week_filter",
     "build_reports",
     "daily_report",
     "ingest",
