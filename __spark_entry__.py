@@ -59,7 +59,7 @@ from tidelog.operators.skew import key_skew, partition_counts, partition_extreme
 from tidelog.operators.topk import count_by, rank_counts, sort_report, top_k_per_group
 from tidelog.config import LogConfig
 from tidelog.plans.adhoc import adhoc
-from tidelog.plans.jobs import ingest, report, transform
+from tidelog.plans.jobs import ingest, transform
 from tidelog.plans.reports import (
     REPORTS,
     daily_report,
