@@ -28,3 +28,21 @@ def test_incremental_runs(spark):
     expected = parse_logs(lines)
     assert got.exceptAll(expected.select(*got.columns)).count() == 0
     assert dict(got.dtypes)["process_date"] == "string"
+
+
+def test_continuous_trigger(spark):
+    from tidelog.streaming.ingest import start_ingest_stream
+
+    root = scratch_path(spark, "tests-stream-cont")
+    inbox, out, ckpt = f"{root}/in", f"{root}/out", f"{root}/ckpt"
+    lines = lines_from_events(read_events(spark, SF001), keep_id=False)
+    lines.write.text(inbox)
+    cfg = LogConfig(input_paths=[inbox])
+    query = start_ingest_stream(
+        spark, cfg, out, ckpt, max_files_per_trigger=1, processing_time="1 second"
+    )
+    try:
+        query.processAllAvailable()
+        assert read_ingested(spark, out).count() == lines.count()
+    finally:
+        query.stop()
