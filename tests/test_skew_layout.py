@@ -88,3 +88,14 @@ def test_rebalance_splits_a_hot_partition(spark):
     assert len(hot) > 1 and len(cold) >= 1
     back = spark.read.parquet(path)
     assert back.count() == n
+
+
+def test_spread_only_small_inputs(spark):
+    from tidelog.operators.layout import spread
+
+    one = spark.range(0, 1000, 1, 1)
+    spread_one = spread(one, 4)
+    assert spread_one.rdd.getNumPartitions() == 4
+    assert sorted(r.id for r in spread_one.collect()) == list(range(1000))
+    many = spark.range(0, 1000, 1, 6)
+    assert spread(many, 4) is many

@@ -2,7 +2,13 @@
 metrics summaries and rendering."""
 
 from tidelog.operators.enrich import enrich_logs
-from tidelog.operators.layout import apply_layout, count_rows, estimate_row_count, estimate_rows
+from tidelog.operators.layout import (
+    apply_layout,
+    count_rows,
+    estimate_row_count,
+    estimate_rows,
+    spread,
+)
 from tidelog.operators.metrics import metrics_by_type, metrics_totals
 from tidelog.operators.skew import key_skew, partition_counts, partition_extremes, partition_skew
 from tidelog.operators.topk import (
@@ -30,6 +36,7 @@ __all__ = [
     "rank_counts",
     "rank_per_group",
     "sort_report",
+    "spread",
     "top_k_of_counts",
     "top_k_per_group",
 ]

@@ -18,6 +18,21 @@ from pyspark.sql import functions as F
 LAYOUTS = ("rebalance", "dynamic", "off")
 
 
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Spreads a source with fewer splits than the cluster has cores (one
+    large row group, a single small file) over ``min_partitions`` tasks
+    (default: the default parallelism) so per-row work uses every core.
+
+    Meant for a freshly read source, whose split count is known from
+    planning alone.  A source with enough splits is returned unchanged; only
+    a small input pays the round-robin shuffle.
+    """
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)
+
+
 def count_rows(df: DataFrame, name: str = "count") -> DataFrame:
     """One row with the exact row count (a global aggregate: each task
     counts its rows, one number per task is combined)."""

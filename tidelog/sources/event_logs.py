@@ -94,7 +94,11 @@ def lines_from_events(events: DataFrame, keep_id: bool = True) -> DataFrame:
 
 
 def read_events(spark, sf_dir: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir}/events.parquet")
+    """The ``events`` table, spread over the cluster's cores when the file
+    has fewer splits than that (rendering and parsing are per-row work)."""
+    from tidelog.operators.layout import spread
+
+    return spread(spark.read.parquet(f"{sf_dir}/events.parquet"))
 
 
 def write_lines(lines: DataFrame, path: str, compression: str | None = None) -> str:
