@@ -94,3 +94,19 @@ def test_catalog_listing(spark):
     assert dbs[db] is True and dbs["default"] is False
     desc = {r.col_name for r in describe_table(spark, f"{db}.t").collect()}
     assert {"id", "v", "p"} <= desc
+
+
+def test_compression_is_a_table_property(spark):
+    import glob
+
+    import pyarrow.parquet as pq
+
+    db = _db(spark)
+    t = f"{db}.z"
+    create_table(_data(spark, [(1, "a", "p1")]), t, ["p"], options={"compression": "zstd"})
+    overwrite_partitions(_data(spark, [(2, "b", "p2")]), t, ["p"])
+    loc = describe_table(spark, t).filter("col_name = 'Location'").first().data_type
+    files = glob.glob(loc.replace("file:", "") + "/p=*/*.parquet")
+    assert len(files) == 2
+    codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
+    assert codecs == {"ZSTD"}

@@ -20,6 +20,9 @@ class LogConfig:
     raw_table: str = "raw_logs"
     processed_table: str = "processed_logs"
     table_format: str = "parquet"
+    # file codec, stored as a table property at creation so every later
+    # insert uses it; None keeps the session default
+    compression: str | None = "zstd"
     # parsing options (see tidelog.functions.parse)
     bytes_mode: str = "after_status"
     bytes_type: str = "int"
@@ -41,6 +44,10 @@ class LogConfig:
     sort_within: tuple[str, ...] = ("ip",)
     time_zone: str = "UTC"
 
+    @property
+    def table_options(self) -> dict[str, str]:
+        return {"compression": self.compression} if self.compression else {}
+
     def qualified(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
 

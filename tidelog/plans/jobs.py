@@ -132,6 +132,7 @@ def ingest(spark: SparkSession, cfg: LogConfig) -> JobResult:
         LOG_PARTITIONS,
         cfg.table_format,
         cluster=False,
+        options=cfg.table_options,
     )
     m = obs.get
     return JobResult(
@@ -164,6 +165,7 @@ def transform(
         LOG_PARTITIONS,
         cfg.table_format,
         cluster=False,
+        options=cfg.table_options,
     )
     m = obs.get
     return JobResult(m["rows"], m["malformed"], {"processed": cfg.processed_table_name})

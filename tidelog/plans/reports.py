@@ -88,7 +88,11 @@ def write_reports(
     for name, df in reports.items():
         period = REPORTS[name][0]
         written[name] = write_partitioned(
-            df, cfg.report_table_name(name), [period], cfg.table_format
+            df,
+            cfg.report_table_name(name),
+            [period],
+            cfg.table_format,
+            options=cfg.table_options,
         )
     return written
 

@@ -68,6 +68,7 @@ def create_table(
     partition_cols: Sequence[str] = (),
     fmt: str = "parquet",
     cluster: bool = True,
+    options: dict[str, str] | None = None,
 ) -> str:
     """First write of a table (CTAS).
 
@@ -75,18 +76,21 @@ def create_table(
     inserted: the insert registers exactly the partitions it writes, where a
     partitioned ``saveAsTable`` re-discovers every partition directory after
     the write.  A failed insert leaves an empty table that a re-run fills.
+    ``options`` (e.g. ``compression``) become table properties that every
+    later insert uses.
     """
     data = clustered(df, partition_cols) if cluster else df
+    options = options or {}
     if fmt in V1_FORMATS:
         spark = df.sparkSession
         # schema only: the input plan is not executed for the empty table
-        writer = spark.createDataFrame([], df.schema).write.format(fmt)
+        writer = spark.createDataFrame([], df.schema).write.format(fmt).options(**options)
         if partition_cols:
             writer = writer.partitionBy(*partition_cols)
         writer.saveAsTable(name)
         data.select(*spark.table(name).columns).write.insertInto(name)
     else:
-        writer = data.writeTo(name).using(fmt)
+        writer = data.writeTo(name).using(fmt).options(**options)
         if partition_cols:
             writer = writer.partitionedBy(*[F.col(c) for c in partition_cols])
         writer.create()
@@ -142,13 +146,15 @@ def write_partitioned(
     partition_cols: Sequence[str] = (),
     fmt: str = "parquet",
     cluster: bool = True,
+    options: dict[str, str] | None = None,
 ) -> str:
-    """Creates the table on first use, else overwrites the partitions in
-    ``df``; re-running with the same input is idempotent."""
+    """Creates the table on first use (with ``options`` as table
+    properties), else overwrites the partitions in ``df``; re-running with
+    the same input is idempotent."""
     spark = df.sparkSession
     if table_exists(spark, name):
         return overwrite_partitions(df, name, partition_cols, fmt, cluster)
-    return create_table(df, name, partition_cols, fmt, cluster)
+    return create_table(df, name, partition_cols, fmt, cluster, options)
 
 
 def write_partitioned_path(
