@@ -147,3 +147,14 @@ def test_adhoc_over_job_tables_prunes_partitions(spark):
     assert sum(r.n for r in df.collect()) > 0
     scan = [l for l in plan_text(df).split("\n") if "FileScan" in l][0]
     assert "PartitionFilters" in scan and "2024-01-05" in scan
+
+
+def test_config_errors(spark):
+    import pytest
+
+    from tidelog.streaming.ingest import start_ingest_stream
+
+    with pytest.raises(ValueError):
+        ingest(spark, LogConfig(input_paths=[], database="unused_db"))
+    with pytest.raises(ValueError):
+        start_ingest_stream(spark, LogConfig(input_paths=["a", "b"]), "out", "ckpt")

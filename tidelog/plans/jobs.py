@@ -108,6 +108,8 @@ def _sorted_files(df: DataFrame, cfg: LogConfig) -> DataFrame:
 
 
 def parsed_lines(spark: SparkSession, cfg: LogConfig) -> DataFrame:
+    if not cfg.input_paths:
+        raise ValueError("LogConfig.input_paths is empty")
     lines = read_log_lines(spark, cfg.input_paths)
     return parse_logs(
         lines,

@@ -66,6 +66,8 @@ def start_ingest_stream(
     drains the available files and stops.
     """
     configure_session(spark, cfg.time_zone)
+    if input_dir is None and len(cfg.input_paths) != 1:
+        raise ValueError("a file stream reads one folder or glob: pass input_dir")
     source = input_dir or cfg.input_paths[0]
     reader = spark.readStream.format("text")
     if max_files_per_trigger:
