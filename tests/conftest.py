@@ -23,6 +23,9 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.sql.sources.parallelPartitionDiscovery.parallelism", "8")
+        # tests run locally: databases without a location go to a fresh
+        # temporary warehouse, not the working directory
+        .config("spark.sql.warehouse.dir", tempfile.mkdtemp(prefix="tidelog-wh-"))
     )
     for key, value in RECOMMENDED_CONF.items():
         builder = builder.config(key, value)
