@@ -110,3 +110,17 @@ def test_compression_is_a_table_property(spark):
     assert len(files) == 2
     codecs = {pq.ParquetFile(f).metadata.row_group(0).column(0).compression for f in files}
     assert codecs == {"ZSTD"}
+
+
+def test_concurrent_dynamic_overwrites_keep_other_partitions(spark):
+    from concurrent.futures import ThreadPoolExecutor
+
+    db = _db(spark)
+    t = f"{db}.c"
+    create_table(_data(spark, [(i, "old", f"p{i}") for i in range(6)]), t, ["p"])
+    batches = [_data(spark, [(10 + i, "new", f"p{i}")]) for i in range(3)]
+    with ThreadPoolExecutor(3) as pool:
+        list(pool.map(lambda b: overwrite_partitions(b, t, ["p"]), batches))
+    got = _rows(read_table(spark, t).select("id", "v", "p"))
+    assert got == [(10, "new", "p0"), (11, "new", "p1"), (12, "new", "p2"),
+                   (3, "old", "p3"), (4, "old", "p4"), (5, "old", "p5")]

@@ -10,6 +10,7 @@ configured) use ``DataFrameWriterV2.overwritePartitions``.
 
 from __future__ import annotations
 
+import threading
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
@@ -18,6 +19,12 @@ from pyspark.sql import functions as F
 
 V1_FORMATS = frozenset({"parquet", "orc", "json", "csv", "avro", "text"})
 _OVERWRITE_MODE = "spark.sql.sources.partitionOverwriteMode"
+# The overwrite mode is a session-wide setting: two threads setting and
+# restoring it around their inserts could let one insert run in static mode,
+# which replaces the whole table.  tidelog's own dynamic inserts are
+# therefore serialised (code outside tidelog must not change the setting
+# concurrently).
+_OVERWRITE_LOCK = threading.Lock()
 
 
 def _quote(name: str) -> str:
@@ -133,7 +140,7 @@ def overwrite_partitions(
         # insertInto is positional: order columns as the table declares them
         table_cols = spark.table(name).columns
         ordered = data.select(*table_cols)
-        with session_conf(spark, _OVERWRITE_MODE, "dynamic"):
+        with _OVERWRITE_LOCK, session_conf(spark, _OVERWRITE_MODE, "dynamic"):
             ordered.write.insertInto(name, overwrite=True)
     else:
         data.writeTo(name).overwritePartitions()
