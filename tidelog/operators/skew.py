@@ -17,7 +17,12 @@ SKEW_THRESHOLD = 3.0
 
 def partition_counts(df: DataFrame) -> DataFrame:
     """``(partition_id INT, count BIGINT)`` for every partition, empty ones
-    included."""
+    included.
+
+    The partition count comes from the physical plan: free for a scan, but
+    for an input ending in an adaptive shuffle, Spark runs the shuffle
+    stages to learn it (as any physical-partition report must).
+    """
     spark = df.sparkSession
     n = df.rdd.getNumPartitions()
     counted = df.groupBy(F.spark_partition_id().alias("partition_id")).agg(
