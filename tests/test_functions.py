@@ -65,6 +65,11 @@ def test_year_week_null(spark):
     assert df.select(year_week("ts").alias("y")).first().y is None
 
 
+def test_year_week_of_malformed_day_is_null(spark):
+    df = spark.createDataFrame([("2024-13-45",), ("garbage",), (None,)], "d string")
+    assert [r.y for r in df.select(year_week_of_day("d").alias("y")).collect()] == [None] * 3
+
+
 def test_year_week_bad_mode(spark):
     with pytest.raises(ValueError):
         year_week(F.col("ts"), "fiscal")
