@@ -56,4 +56,4 @@ def year_week_of_day(day: Column | str, mode: str = "calendar") -> Column:
     A day maps to exactly one year-week, so weekly counts can be rolled up
     from daily counts instead of re-scanning the logs.
     """
-    return year_week(F.try_to_date(_col(day), F.lit(DAY_FORMAT)), mode)
+    return year_week(F.try_to_date(_col(day), DAY_FORMAT), mode)
