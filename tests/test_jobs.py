@@ -158,3 +158,16 @@ def test_config_errors(spark):
         ingest(spark, LogConfig(input_paths=[], database="unused_db"))
     with pytest.raises(ValueError):
         start_ingest_stream(spark, LogConfig(input_paths=["a", "b"]), "out", "ckpt")
+
+
+def test_backfill_is_stable(spark):
+    from tidelog.plans.jobs import backfill
+
+    cfg = _cfg(spark)
+    run_all(spark, cfg)
+    before = {k: _rows(v) for k, v in read_reports(spark, cfg).items()}
+    processed = _rows(read_table(spark, cfg.processed_table_name))
+    out = backfill(spark, cfg, ["2024-01-03", "2024-01-17"])
+    assert out["transform"].rows > 0 and out["transform"].malformed == 0
+    assert _rows(read_table(spark, cfg.processed_table_name)) == processed
+    assert {k: _rows(v) for k, v in read_reports(spark, cfg).items()} == before

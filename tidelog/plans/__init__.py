@@ -3,6 +3,7 @@
 from tidelog.plans.adhoc import adhoc, job_views
 from tidelog.plans.jobs import (
     JobResult,
+    backfill,
     day_filter,
     ingest,
     report,
@@ -25,6 +26,7 @@ __all__ = [
     "REPORTS",
     "JobResult",
     "adhoc",
+    "backfill",
     "day_filter",
     "job_views",
     "preview_tables",

@@ -236,3 +236,15 @@ def run_all(
         run.records = recorder.records[first:]
         write_metrics_json(run.to_df(spark), metrics_path)
     return out
+
+
+def backfill(
+    spark: SparkSession, cfg: LogConfig, days: list[str], include_null: bool = False
+) -> dict[str, JobResult]:
+    """Re-derives ``processed_logs`` and the reports for ``days`` from the raw
+    table, without re-ingesting (e.g. after a change of device rules).  Only
+    those days' partitions and their weeks are read and overwritten."""
+    return {
+        "transform": transform(spark, cfg, days, include_null),
+        "report": report(spark, cfg, days, include_null),
+    }
