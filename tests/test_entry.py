@@ -23,8 +23,10 @@ TABLES = (
 
 
 def _norm(v):
+    # floats compared bit for bit: the oracles round where summation order
+    # could differ
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 9))
+        return "nan" if math.isnan(v) else repr(v)
     return str(v)
 
 
