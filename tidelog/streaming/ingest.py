@@ -27,9 +27,8 @@ from tidelog.session import configure_session, shared_dir
 LOG_PARTITIONS = ("process_date", "hour")
 
 
-def raw_schema(cfg: LogConfig) -> StructType:
+def raw_schema(spark: SparkSession, cfg: LogConfig) -> StructType:
     """Schema of the parsed rows for the config's parse options."""
-    spark = SparkSession.getActiveSession()
     empty = spark.createDataFrame([], "value string")
     return _parse(empty, cfg).schema
 
@@ -107,5 +106,5 @@ def run_ingest_stream(
 def read_ingested(spark: SparkSession, output_path: str, cfg: LogConfig | None = None) -> DataFrame:
     """The committed rows of a streamed folder, with the parse schema (the
     day and hour stay strings instead of inferred DATE / INT)."""
-    schema = raw_schema(cfg or LogConfig())
+    schema = raw_schema(spark, cfg or LogConfig())
     return spark.read.schema(schema).parquet(output_path)
