@@ -17,3 +17,13 @@ def test_paths_globs_gzip_and_file_name(spark):
     globbed = read_log_lines(spark, f"{root}/day=*/*.gz", with_file_name=True)
     rows = globbed.collect()
     assert len(rows) == 3 and all(r.file_name.endswith(".txt.gz") for r in rows)
+
+
+def test_recursive_and_file_filter(spark):
+    root = scratch_path(spark, "tests-text-nested")
+    for day in ("01", "02"):
+        spark.createDataFrame([(f"line-{day}",)], "value string").coalesce(1).write.text(
+            f"{root}/2024/01/{day}"
+        )
+    lines = read_log_lines(spark, root, recursive=True, file_filter="part-*")
+    assert sorted(r.value for r in lines.collect()) == ["line-01", "line-02"]
