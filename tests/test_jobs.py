@@ -171,3 +171,17 @@ def test_backfill_is_stable(spark):
     assert out["transform"].rows > 0 and out["transform"].malformed == 0
     assert _rows(read_table(spark, cfg.processed_table_name)) == processed
     assert {k: _rows(v) for k, v in read_reports(spark, cfg).items()} == before
+
+
+def test_ingest_nested_input(spark):
+    root = scratch_path(spark, "tests-nested-in")
+    events = read_events(spark, SF001)
+    write_lines(lines_from_events(events.filter(F.col("event_id") < 500), keep_id=False), f"{root}/a/1")
+    write_lines(lines_from_events(events.filter(F.col("event_id") >= 500), keep_id=False), f"{root}/b/2")
+    cfg = LogConfig(
+        input_paths=[root],
+        database=f"nested_{uuid.uuid4().hex[:8]}",
+        recursive=True,
+        file_filter="part-*",
+    )
+    assert ingest(spark, cfg).rows == events.count()

@@ -15,6 +15,8 @@ class LogConfig:
     """
 
     input_paths: list[str] = field(default_factory=list)
+    recursive: bool = False  # descend into nested input folders
+    file_filter: str | None = None  # keep matching file names, e.g. "*.log"
     database: str = "weblogs"
     database_location: str | None = None
     raw_table: str = "raw_logs"

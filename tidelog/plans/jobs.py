@@ -110,7 +110,9 @@ def _sorted_files(df: DataFrame, cfg: LogConfig) -> DataFrame:
 def parsed_lines(spark: SparkSession, cfg: LogConfig) -> DataFrame:
     if not cfg.input_paths:
         raise ValueError("LogConfig.input_paths is empty")
-    lines = read_log_lines(spark, cfg.input_paths)
+    lines = read_log_lines(
+        spark, cfg.input_paths, recursive=cfg.recursive, file_filter=cfg.file_filter
+    )
     return parse_logs(
         lines,
         bytes_mode=cfg.bytes_mode,
