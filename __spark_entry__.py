@@ -505,6 +505,17 @@ def entry(spark: SparkSession) -> DataFrame:
     return q_daily_top_ips(spark, FLAGSHIP_SF)
 
 
+def _llm():
+    """The queries of the ``llm`` subpackage, or None where it is not there."""
+    try:
+        from tidelog.llm import queries as llm
+    except ImportError as e:
+        if e.name not in ("tidelog.llm", "tidelog.llm.queries"):
+            raise
+        return None
+    return llm
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     out: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "text_scan": q_text_scan,
@@ -568,6 +579,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "describe_table": q_describe_table,
         }
     )
+    if llm := _llm():
+        out.update(llm.queries())
     return out
 
 
@@ -821,4 +834,6 @@ def oracle_sql() -> dict[str, str]:
             "ingest_stream": raw_no_id,
         }
     )
+    if llm := _llm():
+        out.update(llm.oracle_sql())
     return out
