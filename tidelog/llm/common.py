@@ -9,11 +9,15 @@ from tidelog.session import configure_session, scratch_path
 
 #: Stands for a null identifier; sorts before every other one.
 NULL_ID = -(2**63)
+#: Rows of an Arrow batch.
+ARROW_ROWS = 512
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table of a data folder."""
+    """One input table of a data folder.  Rows reach Python workers in small
+    batches, since texts can be long."""
     configure_session(spark, "UTC")
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -120,8 +120,9 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
     left = docs.withColumn("lr_key", id_or_null()).withColumn(
         "lr_hash", F.xxhash64(F.coalesce("text", F.lit("")))
     )
+    # the texts are shuffled at any size, so that the plan doesn't depend on it
     both = left.join(
-        gone, (F.col("lr_key") == F.col("lr_id")) & (F.col("lr_hash") == F.col("lr_text")), "left"
+        gone.hint("merge"), (F.col("lr_key") == F.col("lr_id")) & (F.col("lr_hash") == F.col("lr_text")), "left"
     )
     both = both.withColumn("lr_raw", F.split("text", "\n"))
     # number of each line among those with a word; others get none
