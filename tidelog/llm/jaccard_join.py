@@ -186,10 +186,10 @@ def verify(a: np.ndarray, members: list[np.ndarray]) -> list[tuple[int, int]]:
 
 
 def _verify_rows(rows: pd.DataFrame) -> pd.DataFrame:
-    """Linked pairs among a task's leaders (member null) and members."""
+    """Linked pairs among a task's leaders (b equals a) and members."""
     found = []
     for leader, own in rows.groupby("a", sort=False):
-        lead = own["b"].isna()
+        lead = own["b"] == leader
         if not lead.any() or lead.all():
             continue
         a = np.frombuffer(own.loc[lead, "s"].iloc[0], np.uint64)
@@ -317,7 +317,7 @@ class ShingleJoin:
         members = dealt.join(s, "b").select(task, "a", "b", "s")
         leaders = dealt.select("a", "blk").distinct().join(sets.withColumnRenamed("cid", "a"), "a")
         rows = members.unionByName(
-            leaders.select(task, "a", F.lit(None).cast("long").alias("b"), "s")
+            leaders.select(task, "a", F.col("a").alias("b"), "s")
         )
         return rows.groupBy("task").applyInPandas(_verify_rows, "u long, v long, overlap long")
 
