@@ -211,10 +211,10 @@ def entries(nodes: DataFrame) -> DataFrame:
     reached = materialise(exits.where(F.col("at") == 0).select("path", "at"), "reached")
     targets = exits.select("path", F.col("leaves").alias("at")).unionByName(reached).distinct()
     jump = materialise(exits.join(targets, ["path", "at"]).select("path", "at", "leaves"), "jump")
-    n = reached.count()
+    every, n = jump.select("path", "at"), reached.count()
     while True:
         ahead = reached.join(jump, ["path", "at"]).select("path", F.col("leaves").alias("at"))
-        known = ahead.join(jump.select("path", "at"), ["path", "at"], "left_semi")
+        known = ahead.join(every, ["path", "at"], "left_semi")
         grown = materialise(reached.unionByName(known).distinct(), "reached")
         if (more := grown.count()) == n:
             return grown
