@@ -24,7 +24,7 @@ from tidelog.llm.common import table
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: A line that begins, after comment marks, with a copyright notice.
-COPYRIGHT = r"(?m)^[ \t#*/;-]*(?:copyright|\(c\)|©)[^\n]*"
+COPYRIGHT = r"(?m)^[ \t#*/;-]*(?:copyright[ \t]+(?:\(c\)|©|[0-9])|\(c\)[ \t]*[0-9]|©)[^\n]*"
 #: ASCII punctuation and space, and common signs beyond ASCII.
 BREAKS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F “”‘’«»–—…©®™•]+"
 
