@@ -75,3 +75,14 @@ def test_query_matches_oracle(spark, duck, key):
     assert sorted(cols) == sorted(ocols)
     assert len(rows) == len(orows)
     assert _multiset(cols, rows) == _multiset(ocols, orows)
+
+
+def test_entry_without_the_llm_subpackage(monkeypatch):
+    import sys
+
+    import tidelog
+
+    monkeypatch.delattr(tidelog, "llm", raising=False)
+    monkeypatch.setitem(sys.modules, "tidelog.llm", None)
+    assert entry.queries() and not set(entry.queries()) - set(_core(entry.queries()))
+    assert set(_core(entry.oracle_sql())) == set(entry.oracle_sql())
