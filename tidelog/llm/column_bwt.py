@@ -5,70 +5,74 @@ Round j inserts the suffix of length j of every string at once, beginning
 with the empty ones.  Where a suffix goes follows from the transform alone:
 it stands as many rows below the first with its first symbol as there are
 equal symbols above the row of the suffix that it extends.  Along with the
-transform, each round updates the common prefix of every row with the row
-above, as far as windows need it.
+transform, each round updates whether a row has a window's length in common
+with the row above.
 """
 
 from __future__ import annotations
 
 import numpy as np
 
+# a row: its string, the length of its suffix, whether it shares a window
+# with the row above, and its symbol of the transform
+_STRING, _LENGTH, _SHARES, _SYMBOL = 32, 16, 15, 0x1FF
+
 
 def equal_windows(strings: list[bytes], width: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """For all windows of ``width`` bytes: string, offset and group, a number
-    that equal windows share.  The rows are in the order of the windows."""
+    that equal windows share.  The rows are in the order of the windows.
+    Strings have less than 65,536 bytes."""
     m = len(strings)
     sizes = np.array([len(s) for s in strings], np.int64)
     most = int(sizes.max(initial=0))
     none = np.zeros(0, np.int64)
     if most < width:
         return none, none, none
-    # texts at the right edge; 0 stands for the end, byte + 1 for a byte
+    # texts at the right edge; symbol 0 stands for the end, others for the bytes that occur
     cells = np.zeros((m, most), np.uint8)
     for i, s in enumerate(strings):
         if s:
             cells[i, most - len(s) :] = np.frombuffer(s, np.uint8)
+    used = np.zeros(256, np.int64)
+    used[np.unique(cells)] = 1
+    symbols = np.cumsum(used)[cells]
+    symbols[np.arange(most) < most - sizes[:, None]] = 0
+    small = np.uint8 if used.sum() < 255 else np.uint16
     windows = np.lib.stride_tricks.sliding_window_view(cells, width, axis=1)
 
-    def symbol(who: np.ndarray, j: int) -> np.ndarray:
-        """The symbol before the suffix of length j."""
-        out = np.zeros(len(who), np.uint16)
-        more = sizes[who] > j
-        out[more] = cells[who[more], most - j - 1].astype(np.uint16) + 1
-        return out
+    def before(who: np.ndarray, j: int) -> np.ndarray:
+        """The symbols before the suffixes of length j."""
+        return symbols[who, most - j - 1] if j < most else np.zeros(len(who), np.int64)
 
-    who = np.arange(m)  # the string of each row's suffix, and that suffix's length
-    length = np.zeros(m, np.int64)
-    bwt = symbol(who, 0)
-    same = np.zeros(m, bool)  # the row shares a window's length with the row above
-    row = np.arange(m)  # where the longest suffix of each string stands
+    everyone = np.arange(m)
+    rows = everyone << _STRING | before(everyone, 0)
+    row = everyone.copy()  # where the longest suffix of each string stands
     for j in range(1, most + 1):
         active = np.flatnonzero(sizes >= j)
+        bwt = (rows & _SYMBOL).astype(small)
         order = np.argsort(bwt, kind="stable")
-        ended = int(np.count_nonzero(bwt == 0))
-        goes = np.empty(len(bwt), np.int64)
-        goes[order[ended:]] = m + np.arange(len(bwt) - ended)
-        new = goes[row[active]]
+        ended = len(bwt) - np.count_nonzero(bwt)
+        goes = np.empty(len(bwt), np.int32)
+        goes[order[ended:]] = np.arange(m, m + len(bwt) - ended, dtype=np.int32)
+        new = goes[row[active]].astype(np.int64)
         old = np.ones(len(bwt) + len(active), bool)
         old[new] = False
-
-        def grown(x, put):
-            out = np.empty(len(old), x.dtype)
-            out[old], out[new] = x, put
-            return out
-
-        bwt, who, length = grown(bwt, symbol(active, j)), grown(who, active), grown(length, j)
-        same = grown(same, False)
-        row[active] = new
+        grown = np.empty(len(old), np.int64)
+        grown[old] = rows
+        grown[new] = active << _STRING | j << _LENGTH | before(active, j)
+        rows, row[active] = grown, new
         if j >= width:
             near = np.unique(np.concatenate([new, new + 1]))
-            near = near[near < len(who)]
-            long = (length[near] >= width) & (length[near - 1] >= width)
-            same[near[~long]] = False
-            near = near[long]
-            here = windows[who[near], most - length[near]]
-            above = windows[who[near - 1], most - length[near - 1]]
-            same[near] = (here == above).all(axis=1)
-    rows = np.flatnonzero(length >= width)
-    group = np.cumsum(~same[rows])
-    return who[rows], sizes[who[rows]] - length[rows], group
+            near = near[near < len(rows)]
+            here, above = rows[near], rows[near - 1]
+            l1, l2 = here >> _LENGTH & 0xFFFF, above >> _LENGTH & 0xFFFF
+            long = np.flatnonzero((l1 >= width) & (l2 >= width))
+            shares = np.zeros(len(near), np.int64)
+            x = windows[here[long] >> _STRING, most - l1[long]]
+            y = windows[above[long] >> _STRING, most - l2[long]]
+            shares[long] = (x == y).all(axis=1)
+            rows[near] = here & ~(1 << _SHARES) | shares << _SHARES
+    rows = rows[(rows >> _LENGTH & 0xFFFF) >= width]
+    who = rows >> _STRING
+    group = np.cumsum((rows >> _SHARES & 1) == 0)
+    return who, sizes[who] - (rows >> _LENGTH & 0xFFFF), group

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import NULL_ID, id_or_null, materialise, table
+from tidelog.llm.common import NULL_ID, id_or_null, materialise, prepare, table
 from tidelog.llm.components import components
 from tidelog.llm.shingles import mix, shingle_sets
 
@@ -56,7 +56,7 @@ PERCENT = 80
 BUCKETS, AT_A_TIME = 1 << 18, 2_000_000
 SHINGLE_BITS, DOC_BITS = 26, 23
 #: Rounds of leaders, members of a block, rows of a verifying task.
-STARS, BLOCK, TASK_ROWS = 4, 256, 1000
+STARS, BLOCK, TASK_ROWS = 3, 256, 1000
 #: Cost of a merge step against a lookup, which sets the number of long lists.
 MU = 0.0085
 
@@ -122,19 +122,21 @@ def _ordered(s: np.ndarray, levels: np.ndarray) -> np.ndarray:
     return np.sort(level << np.uint64(58) | s >> np.uint64(6))
 
 
-def _bit(values: np.ndarray, bits: int) -> np.ndarray:
-    return (mix(values.astype(np.uint64)) >> np.uint64(64 - bits)).astype(np.int64)
+def _bits(values: np.ndarray, bits: int) -> list[np.ndarray]:
+    """Two places of each value in a map of 2**bits bits."""
+    h = mix(values.astype(np.uint64))
+    return [(h >> np.uint64(64 - bits)).astype(np.int64), (h & np.uint64((1 << bits) - 1)).astype(np.int64)]
 
 
 def bit_map(values: DataFrame, bits: int) -> np.ndarray:
-    """A bit for each value of the long column ``x``, by hash: 2**bits bits
-    whatever the number of values."""
+    """A Bloom filter of the long column ``x``, with two places a value:
+    2**bits bits whatever the number of values."""
 
-    def bit(frames):
+    def places(frames):
         for f in frames:
-            yield pd.DataFrame({"bit": _bit(f["x"].to_numpy(np.int64), bits)})
+            yield pd.DataFrame({"bit": np.concatenate(_bits(f["x"].to_numpy(np.int64), bits))})
 
-    rows = values.select("x").mapInPandas(bit, "bit long")
+    rows = values.select("x").mapInPandas(places, "bit long")
     words = rows.groupBy(F.shiftright("bit", 6).alias("w")).agg(
         F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("b")
     )
@@ -144,9 +146,11 @@ def bit_map(values: DataFrame, bits: int) -> np.ndarray:
     return out
 
 
-def _in_map(values: np.ndarray, words: np.ndarray, bits: int) -> np.ndarray:
-    bit = _bit(values, bits)
-    return words[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1) == 1
+def in_map(values: np.ndarray, words: np.ndarray, bits: int) -> np.ndarray:
+    one, two = (
+        words[bit >> 6] >> (bit & 63).astype(np.uint64) & np.uint64(1) == 1 for bit in _bits(values, bits)
+    )
+    return one & two
 
 
 def _short(k: np.ndarray) -> np.ndarray:
@@ -251,7 +255,7 @@ class ShingleJoin:
                 for s in shingle_sets(b.column("text")):
                     if len(s):
                         p = _ordered(s, levels)[: prefix_length(len(s))]
-                        at = np.flatnonzero(_in_map(_short(p).astype(np.int64), words.value, SHINGLE_BITS))
+                        at = np.flatnonzero(in_map(_short(p).astype(np.int64), words.value, SHINGLE_BITS))
                         out.append((p[at].view(np.int64), class_id(s), len(s), at))
                 out = [x for x in out if len(x[3])]
                 if out:
@@ -288,7 +292,7 @@ class ShingleJoin:
         def whole(batches):
             for b in batches:
                 ids = b.column("doc_id").fill_null(NULL_ID).to_numpy()
-                b = b.filter(pa.array(_in_map(ids, words.value, DOC_BITS)))
+                b = b.filter(pa.array(in_map(ids, words.value, DOC_BITS)))
                 sets = [s for s in shingle_sets(b.column("text")) if len(s)]
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -301,10 +305,9 @@ class ShingleJoin:
         sets = self.docs.mapInArrow(whole, "cid long, s binary").join(wanted, "cid", "left_semi")
         return materialise(sets.dropDuplicates(["cid"]), "sets")
 
-    def _verified(self, pairs: DataFrame, sets: DataFrame) -> DataFrame:
-        """The pairs (a, b) that link, as u, v, overlap."""
+    def _verified(self, pairs: DataFrame, n: int, sets: DataFrame) -> DataFrame:
+        """Those of the n pairs (a, b) that link, as u, v, overlap."""
         size = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
-        n = pairs.count()
         tasks = max(1, n // TASK_ROWS)
         dealt = materialise(
             pairs.join(size, "a").select(
@@ -330,7 +333,7 @@ class ShingleJoin:
             # sizes that can link, and enough shingles left after a first common one at these places
             (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
             & (
-                (100 + PERCENT) * (1 + F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb")) - 1)
+                (100 + PERCENT) * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
                 >= PERCENT * (F.col("na") + F.col("nb"))
             )
         )
@@ -368,8 +371,12 @@ class ShingleJoin:
                 turned = done.select(F.col("b").alias("a"), F.col("a").alias("b"))
                 pairs = pairs.join(done.unionByName(turned), ["a", "b"], "left_anti")
             pairs = materialise(pairs, "candidate-pairs")
-            found = materialise(self._verified(pairs, sets).select("u", "v"), "links")
+            if not (n := pairs.count()):
+                continue
+            found = materialise(self._verified(pairs, n, sets).select("u", "v"), "links")
             done = pairs if done is None else done.unionByName(pairs)
+            if found.isEmpty():
+                continue
             links = found if links is None else links.unionByName(found)
             comp = components(links)
             if turn == STARS:
@@ -417,12 +424,13 @@ def stage(spark, docs, sf_dir):
     """Pipeline stage: one document of each component stays, that with the
     smallest doc_id (rows that repeat it are one).  Documents without a
     doc_id stay unless their component has one that has."""
+    prepare(spark)
     labelled = materialise(jaccard_join(docs), "components")
     others = labelled.where(
         F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
-    ).select(id_or_null().alias("gone"))
+    ).select(id_or_null().alias("jj_gone"))
     out = docs
     if not labelled.groupBy("doc_id").count().where("count > 1").isEmpty():
         out = docs.dropDuplicates(["doc_id", "text"])
     gone = materialise(others, "later-copies")
-    return out.join(gone.hint("merge"), id_or_null() == F.col("gone"), "left_anti")
+    return out.join(gone.hint("merge"), id_or_null() == F.col("jj_gone"), "left_anti")

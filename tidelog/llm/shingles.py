@@ -30,7 +30,7 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ x >> np.uint64(31)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_POWERS.get("up", ())) <= n:
         size = max(n + 1, PART + 1)
         for name, base in (("up", _BASE), ("down", pow(_BASE, -1, 1 << 64))):
@@ -42,7 +42,7 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _words(data: np.ndarray, edge: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and hashes of the words; ``edge`` marks where texts begin and end."""
-    up, down = _powers(len(data))
+    up, down = powers(len(data))
     word = ~_SPACE[data]
     before = np.concatenate([[False], word[:-1]])
     after = np.concatenate([word[1:], [False]])

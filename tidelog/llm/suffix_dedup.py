@@ -13,9 +13,10 @@ one).
   removed with their whole context.
 * Column-wise construction: the first contexts of the classes of an anchor
   are put together, and a task builds the Burrows-Wheeler transform and
-  common prefixes of its collection column by column, one symbol of every
-  context a round (``column_bwt``).  Neighbours with a common prefix of WIDTH
-  bytes are equal windows; all but the earliest are removed.
+  common prefixes of its collections column by column, one symbol of every
+  context a round (``column_bwt``).  The anchor counts as one symbol.
+  Neighbours with a common prefix of WIDTH bytes are equal windows; all but
+  the earliest are removed.
 
 Collections are bounded: anchors with more than ``MOST`` different contexts
 don't come together in one task.  Their windows are dealt by content and the
@@ -23,8 +24,8 @@ earliest of each is found by a map-side combined minimum.
 
 The documents themselves are too long for a construction with a round for
 every symbol (each round rewrites the whole transform); the contexts have at
-most 2 * WIDTH - GRAM symbols, and since a collection is bounded, its
-transform is held in memory rather than in external files.
+most 2 * BEFORE + 1 symbols, and since a collection is bounded, its transform
+is held in memory rather than in external files.
 
 Anchors, contexts and windows in the hot case are told apart by 64-bit
 hashes (two of them together).  Bit maps of a fixed size spare the shuffle
@@ -32,7 +33,7 @@ rows that can't matter; exact joins follow.
 
 Defined cases: a null or empty text has no bytes and loses none; rows with
 equal doc_id and text are one document (each is returned), those with one
-doc_id and different texts come in the order of a hash of the text; a null
+doc_id and different texts come in the order of a 32-bit hash of the text; a null
 doc_id comes first; an empty table gives an empty result.  Further columns
 are returned as they are.
 """
@@ -48,15 +49,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.column_bwt import equal_windows
-from tidelog.llm.common import NULL_ID, id_or_null, materialise, null_id_back, table
-from tidelog.llm.jaccard_join import _bit, _in_map, bit_map
-from tidelog.llm.shingles import PART, _powers, mix, text_buffers
+from tidelog.llm.common import id_or_null, materialise, null_id_back, prepare, table
+from tidelog.llm.jaccard_join import bit_map, in_map
+from tidelog.llm.shingles import mix, powers, text_buffers
 
 #: Bytes of a window and of an anchor.
 WIDTH, GRAM = 100, 36
 BEFORE = WIDTH - GRAM
-#: Contexts of an anchor that may meet in one task, and contexts of a task.
-MOST, TASK_ROWS = 2048, 2000
+#: Contexts of an anchor that may meet in one task, of a task, and of a collection.
+MOST, TASK_ROWS, TOGETHER = 16_384, 2000, 1000
+#: Bytes that are hashed at a time.
+PART = 1 << 19
 ANCHOR_BITS, PLACE_BITS = 26, 26
 
 _BYTES = np.random.default_rng(20260102).integers(0, 2**64, 256, np.uint64)
@@ -87,7 +90,7 @@ class Part:
         self.at = np.zeros(0, np.int64)
         if n < WIDTH:
             return
-        up, self.down = _powers(n)
+        up, self.down = powers(n)
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * up[:n])])
         grams = mix((self.sums[GRAM:] - self.sums[:-GRAM]) * self.down[: n - GRAM + 1])
         places = np.arange(len(grams), dtype=np.uint64)
@@ -107,15 +110,23 @@ class Part:
         self.lo = np.maximum(bounds[self.doc], self.at - BEFORE)
         self.hi = np.minimum(bounds[self.doc + 1], self.at + WIDTH)
 
+    def after(self, place: int) -> None:
+        """Keeps the anchors beyond a place only."""
+        if len(self.at) and self.at[0] <= place:
+            on = self.at > place
+            for name in ("at", "anchor", "doc", "lo", "hi"):
+                setattr(self, name, getattr(self, name)[on])
+
     def offset(self, base: int) -> np.ndarray:
         """What to add to a place in ``data`` for the place in its text."""
         return np.full(len(self.at), base) if base else -np.maximum(self.bounds[self.doc], 0)
 
     def contexts(self) -> np.ndarray:
-        """A hash of each anchor's context and of its place in it."""
+        """A hash of each anchor's context, its place in it, and the anchor."""
         raw = (self.sums[self.hi] - self.sums[self.lo]) * self.down[self.lo]
         shape = (self.at - self.lo) << 8 | (self.hi - self.at)
-        return mix(raw ^ mix(shape.astype(np.uint64) + np.uint64(1))).view(np.int64)
+        own = mix(shape.astype(np.uint64) + np.uint64(1)) + self.anchor.view(np.uint64)
+        return mix(raw ^ mix(own)).view(np.int64)
 
 
 def parts(texts: pa.Array):
@@ -129,10 +140,13 @@ def parts(texts: pa.Array):
         if b - a <= PART:
             yield Part(data[a:b], offsets[i : to + 1] - a, (0, b - a)), i, 0
         else:  # one long text, with what surrounds each part's windows
+            last = -1
             for s in range(a, b, PART // 2):
                 x, y = max(a, s - WIDTH), min(b, s + PART // 2 + 2 * WIDTH)
-                bounds = np.array([a - x, b - x])
-                yield Part(data[x:y], bounds, (s - x, s + PART // 2 - x)), to - 1, x - a
+                part = Part(data[x:y], np.array([a - x, b - x]), (s - x, s + PART // 2 - x))
+                part.after(last - x)  # windows of two parts may share an anchor
+                last = max(last, x + int(part.at[-1])) if len(part.at) else last
+                yield part, to - 1, x - a
         i = to
 
 
@@ -140,37 +154,43 @@ def _short(anchor: np.ndarray) -> np.ndarray:
     return (mix(anchor.view(np.uint64)) >> np.uint64(32)).astype(np.uint32).view(np.int32)
 
 
-def _place(doc: np.ndarray, text: np.ndarray, pos: np.ndarray) -> np.ndarray:
+def _place(doc: np.ndarray, th: np.ndarray, at: np.ndarray) -> np.ndarray:
     """64 bits for an anchor's place, for the bit map."""
-    both = doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ text.view(np.uint64)
-    return mix(both + mix(pos.astype(np.uint64))).view(np.int64)
+    both = doc.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) ^ th.astype(np.uint64)
+    return mix(both + mix(at.astype(np.uint64))).view(np.int64)
 
 
 class RepeatedBytes:
-    """The steps of the removal over one table."""
+    """The steps of the removal over one table.
+
+    A place in a text is one number, ``at``: the anchor's position, the bytes
+    of its context before it, and those from it on.
+    """
 
     def __init__(self, docs: DataFrame):
         text = F.coalesce("text", F.lit(""))
         self.docs = docs.select(
-            id_or_null().alias("doc"), F.xxhash64(text).alias("th"), text.alias("text")
+            text.alias("text"), id_or_null().alias("doc"), F.hash(text).alias("th")
         ).where(F.octet_length("text") >= WIDTH)
         self.context = docs.sparkSession.sparkContext
 
     def spans(self) -> DataFrame:
-        """doc, th, and the removed spans as sorted arrays a and b."""
+        """doc, th, and the removed spans as a sorted array s of a and b."""
         occurrences = self._occurrences()
-        classes = occurrences.groupBy("anchor", "ctx").agg(
-            F.min(F.struct("doc", "th", "pos")).alias("first")
+        place = F.struct("doc", "th", "at")
+        classes = occurrences.groupBy("cls").agg(
+            F.min(place).alias("first"), F.min("anchor").alias("anchor"), F.count(F.lit(1)).alias("n")
         )
         classes = materialise(classes, "context-classes")
-        later = (
-            occurrences.join(classes, ["anchor", "ctx"])
-            .where((F.struct("doc", "th", "pos") > F.col("first")) & (F.col("hi") - F.col("lo") >= WIDTH))
-            .select("doc", "th", F.col("lo").alias("a"), F.col("hi").alias("b"))
+        repeated = classes.where(F.col("n") > 1).select("cls", "first")
+        later = occurrences.select("cls", "doc", "th", "at").join(repeated, "cls")
+        pos, left, right = F.shiftright("at", 16), _byte(8), _byte(0)
+        later = later.where((place > F.col("first")) & (left + right >= WIDTH)).select(
+            "doc", "th", (pos - left).alias("a"), (pos + right).alias("b")
         )
         several = (
             classes.groupBy("anchor")
-            .agg(F.min("ctx").alias("lo"), F.max("ctx").alias("hi"))
+            .agg(F.min("cls").alias("lo"), F.max("cls").alias("hi"))
             .where(F.col("lo") != F.col("hi"))
             .select("anchor")
         )
@@ -179,93 +199,72 @@ class RepeatedBytes:
         )
         found = later.unionByName(self._among_firsts(firsts))
         merged = F.array_sort(F.collect_list(F.struct("a", "b"))).alias("s")
-        return materialise(found.distinct().groupBy("doc", "th").agg(merged), "removed-spans")
+        return materialise(found.groupBy("doc", "th").agg(merged), "removed-spans")
 
-    def _occurrences(self) -> DataFrame:
-        """Anchors that occur again: anchor, ctx, doc, th, pos, lo, hi."""
+    def _scan(self, rows_of, schema: str) -> DataFrame:
+        """Runs ``rows_of(part, doc, th, at)`` over the anchors of all texts."""
+        names = [x.split()[0] for x in schema.split(", ")]
 
-        def brief(batches):
+        def run(batches):
             for b in batches:
-                for part, _, _ in parts(b.column("text")):
+                docs, hashes = b.column("doc").to_numpy(), b.column("th").to_numpy()
+                for part, first, base in parts(b.column("text")):
                     if len(part.at):
-                        yield pa.RecordBatch.from_arrays([pa.array(_short(part.anchor))], ["k"])
+                        at = part.at + part.offset(base)
+                        at = at << 16 | (part.at - part.lo) << 8 | (part.hi - part.at)
+                        columns = rows_of(part, docs[first + part.doc], hashes[first + part.doc], at)
+                        yield pa.RecordBatch.from_arrays(
+                            [c if isinstance(c, pa.Array) else pa.array(c) for c in columns], names
+                        )
 
-        seen = self.docs.select("text").mapInArrow(brief, "k int").groupBy("k").count()
-        again = seen.where("count > 1").select(F.col("k").cast("long").alias("x"))
-        words = self.context.broadcast(bit_map(again, ANCHOR_BITS))
+        return self.docs.mapInArrow(run, schema)
 
-        def full(batches):
-            for b in batches:
-                docs, hashes = b.column("doc").to_numpy(), b.column("th").to_numpy()
-                for part, first, base in parts(b.column("text")):
-                    if not len(part.at):
-                        continue
-                    on = _in_map(_short(part.anchor).astype(np.int64), words.value, ANCHOR_BITS)
-                    d = part.doc[on]
-                    off = part.offset(base)[on]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(part.anchor[on]),
-                            pa.array(part.contexts()[on]),
-                            pa.array(docs[first + d]),
-                            pa.array(hashes[first + d]),
-                            pa.array(part.at[on] + off),
-                            pa.array(part.lo[on] + off),
-                            pa.array(part.hi[on] + off),
-                        ],
-                        ["anchor", "ctx", "doc", "th", "pos", "lo", "hi"],
-                    )
-
-        schema = "anchor long, ctx long, doc long, th long, pos long, lo long, hi long"
-        return materialise(self.docs.select("text", "doc", "th").mapInArrow(full, schema), "anchors")
+    def _occurrences(self) -> DataFrame:
+        """Anchors that occur again: cls (a hash of anchor and context), anchor, doc, th, at."""
+        seen = self._scan(lambda part, doc, th, at: [_short(part.anchor)], "k int")
+        again = seen.groupBy("k").count().where("count > 1")
+        words = self.context.broadcast(
+            bit_map(again.select(F.col("k").cast("long").alias("x")), ANCHOR_BITS)
+        )
+
+        def rows_of(part, doc, th, at):
+            on = in_map(_short(part.anchor).astype(np.int64), words.value, ANCHOR_BITS)
+            return [x[on] for x in (part.contexts(), part.anchor, doc, th, at)]
+
+        schema = "cls long, anchor long, doc long, th int, at long"
+        return materialise(self._scan(rows_of, schema), "anchors")
 
     def _texts_of(self, firsts: DataFrame) -> DataFrame:
-        """anchor, doc, th, lo and the bytes s of the contexts ``firsts``."""
+        """anchor, doc, th, at and the bytes s of the contexts ``firsts``.
+
+        A few others come along by way of the bit map; they are windows of
+        the texts as well and don't change what repeats.
+        """
 
         def placed(frames):
             for f in frames:
-                yield pd.DataFrame({"x": _place(*(f[c].to_numpy(np.int64) for c in ("doc", "th", "pos")))})
+                yield pd.DataFrame({"x": _place(*(f[c].to_numpy(np.int64) for c in ("doc", "th", "at")))})
 
-        places = firsts.select("doc", "th", "pos").mapInPandas(placed, "x long")
+        places = firsts.select("doc", "th", "at").mapInPandas(placed, "x long")
         words = self.context.broadcast(bit_map(places, PLACE_BITS))
 
-        def fetch(batches):
-            for b in batches:
-                docs, hashes = b.column("doc").to_numpy(), b.column("th").to_numpy()
-                for part, first, base in parts(b.column("text")):
-                    if not len(part.at):
-                        continue
-                    off = part.offset(base)
-                    pos, doc, th = part.at + off, docs[first + part.doc], hashes[first + part.doc]
-                    on = np.flatnonzero(_in_map(_place(doc, th, pos), words.value, PLACE_BITS))
-                    raw = part.data.tobytes()
-                    strings = [raw[x:y] for x, y in zip(part.lo[on].tolist(), part.hi[on].tolist())]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(part.anchor[on]),
-                            pa.array(doc[on]),
-                            pa.array(th[on]),
-                            pa.array(pos[on]),
-                            pa.array((part.lo + off)[on]),
-                            pa.array(strings, pa.binary()),
-                        ],
-                        ["anchor", "doc", "th", "pos", "lo", "s"],
-                    )
-
-        schema = "anchor long, doc long, th long, pos long, lo long, s binary"
-        got = self.docs.select("text", "doc", "th").mapInArrow(fetch, schema).distinct()
-        return materialise(
-            got.join(firsts, ["anchor", "doc", "th", "pos"], "left_semi").drop("pos"), "contexts"
-        )
+        def rows_of(part, doc, th, at):
+            on = np.flatnonzero(in_map(_place(doc, th, at), words.value, PLACE_BITS))
+            raw = part.data.tobytes()
+            strings = [raw[x:y] for x, y in zip(part.lo[on].tolist(), part.hi[on].tolist())]
+            return [part.anchor[on], doc[on], th[on], at[on], pa.array(strings, pa.binary())]
+
+        schema = "anchor long, doc long, th int, at long, s binary"
+        return materialise(self._scan(rows_of, schema), "contexts")
 
     def _among_firsts(self, firsts: DataFrame) -> DataFrame:
         """Spans of windows in first contexts of which an equal one starts earlier."""
         contexts = self._texts_of(firsts)
-        sizes = contexts.groupBy("anchor").count()
+        sizes = firsts.groupBy("anchor").count()
         hot = materialise(sizes.where(F.col("count") > MOST).select("anchor"), "hot-anchors")
         cool = contexts.join(hot, "anchor", "left_anti")
-        tasks = max(1, contexts.count() // TASK_ROWS)
-        spans = "doc long, th long, a long, b long"
+        tasks = max(1, firsts.count() // TASK_ROWS)
+        spans = "doc long, th int, a long, b long"
         out = (
             cool.withColumn("task", F.pmod(F.xxhash64("anchor"), F.lit(tasks)))
             .groupBy("task")
@@ -273,12 +272,15 @@ class RepeatedBytes:
         )
         if hot.isEmpty():
             return out
+        first = F.shiftright("at", 16) - _byte(8)
+        text = F.expr(f"substring(s, o + 1, {WIDTH})")
         windows = materialise(
             contexts.join(hot, "anchor", "left_semi")
+            .where(F.octet_length("s") >= WIDTH)
             .select(
                 "doc",
                 "th",
-                "lo",
+                first.alias("lo"),
                 "s",
                 F.explode(F.sequence(F.lit(0), F.octet_length("s") - WIDTH)).alias("o"),
             )
@@ -286,8 +288,8 @@ class RepeatedBytes:
                 "doc",
                 "th",
                 (F.col("lo") + F.col("o")).alias("a"),
-                F.xxhash64(F.expr(f"substring(s, o + 1, {WIDTH})")).alias("h1"),
-                F.xxhash64(F.lit(1), F.expr(f"substring(s, o + 1, {WIDTH})")).alias("h2"),
+                F.xxhash64(text).alias("h1"),
+                F.xxhash64(F.lit(1), text).alias("h2"),
             ),
             "hot-windows",
         )
@@ -302,25 +304,59 @@ class RepeatedBytes:
         return out.unionByName(late.select("doc", "th", "a", (F.col("a") + WIDTH).alias("b")))
 
 
+def _byte(shift: int):
+    return F.shiftright("at", shift).bitwiseAND(F.lit(0xFF))
+
+
+def _collections(rows: pd.DataFrame):
+    """The task's contexts in collections: their rows, and the contexts with
+    a byte that occurs in none of the texts in place of the anchor, another
+    one for each anchor of the collection."""
+    rows = rows.sort_values("anchor", kind="stable").reset_index(drop=True)
+    free = np.flatnonzero(np.bincount(np.frombuffer(b"".join(rows["s"]), np.uint8), minlength=256) == 0)
+    number = (rows["anchor"] != rows["anchor"].shift()).cumsum().to_numpy() - 1
+    left = rows["at"].to_numpy() >> 8 & 0xFF
+    contexts = [
+        s[:x] + bytes([free[n % len(free)]]) + s[x + GRAM :] for s, x, n in zip(rows["s"], left, number)
+    ]
+    at = 0
+    while at < len(rows):
+        to = int(np.searchsorted(number, number[at] + len(free)))
+        more = int(np.searchsorted(number, number[min(at + TOGETHER, len(rows) - 1)]))
+        to = min(to, max(more, int(np.searchsorted(number, number[at], "right"))))
+        yield rows.iloc[at:to], contexts[at:to]
+        at = to
+
+
 def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
-    """Spans that repeat earlier windows of the task's collection."""
-    who, offset, group = equal_windows([bytes(s) for s in rows["s"]], WIDTH)
+    """Spans that repeat earlier windows of the task's contexts."""
+    found = [_repeats_of(part, contexts) for part, contexts in _collections(rows)]
+    return pd.concat(found)
+
+
+def _repeats_of(rows: pd.DataFrame, contexts: list[bytes]) -> pd.DataFrame:
+    who, offset, group = equal_windows(contexts, WIDTH - GRAM + 1)
+    at = rows["at"].to_numpy()
     f = pd.DataFrame(
         {
             "doc": rows["doc"].to_numpy()[who],
             "th": rows["th"].to_numpy()[who],
-            "a": rows["lo"].to_numpy()[who] + offset,
+            "a": ((at >> 16) - (at >> 8 & 0xFF))[who] + offset,
             "who": who,
             "group": group,
         }
     ).sort_values(["group", "doc", "th", "a"], kind="stable")
-    first = f.groupby("group")[["doc", "th", "a"]].transform("first")
-    late = (f["doc"] != first["doc"]) | (f["th"] != first["th"]) | (f["a"] != first["a"])
+    new = f["group"].to_numpy() != f["group"].shift().to_numpy()
+    first = f.iloc[np.flatnonzero(new)[np.cumsum(new) - 1]]
+    late = np.zeros(len(f), bool)
+    for c in ("doc", "th", "a"):
+        late |= f[c].to_numpy() != first[c].to_numpy()
     f = f[late].sort_values(["who", "a"], kind="stable")
     # windows at neighbouring places make one span
-    run = ((f["who"] != f["who"].shift()) | (f["a"] != f["a"].shift() + 1)).cumsum()
-    out = f.groupby(run).agg(doc=("doc", "first"), th=("th", "first"), a=("a", "first"), b=("a", "last"))
-    out["b"] += WIDTH
+    head = ((f["who"] != f["who"].shift()) | (f["a"] != f["a"].shift() + 1)).to_numpy()
+    tail = np.concatenate([head[1:], [True]]) if len(head) else head
+    out = f[head][["doc", "th", "a"]].reset_index(drop=True)
+    out["b"] = f["a"].to_numpy()[tail] + WIDTH
     return out.astype("int64")
 
 
@@ -338,7 +374,7 @@ def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def _with_spans(docs: DataFrame) -> DataFrame:
     spans = RepeatedBytes(docs).spans().withColumnsRenamed({"doc": "sd_d", "th": "sd_t", "s": "sd_spans"})
     keyed = docs.withColumn("sd_doc", id_or_null()).withColumn(
-        "sd_th", F.xxhash64(F.coalesce("text", F.lit("")))
+        "sd_th", F.hash(F.coalesce("text", F.lit("")))
     )
     on = (F.col("sd_doc") == F.col("sd_d")) & (F.col("sd_th") == F.col("sd_t"))
     # the texts are shuffled at any size, so that the plan doesn't depend on it
@@ -347,7 +383,7 @@ def _with_spans(docs: DataFrame) -> DataFrame:
 
 def _cut(text: str | None, spans) -> tuple[bytes, list[tuple[int, int]]]:
     raw = (text or "").encode()
-    runs = merged_spans([(s["a"], s["b"]) for s in spans or ()])
+    runs = merged_spans([] if spans is None else [(s["a"], s["b"]) for s in spans])
     at, kept = 0, []
     for a, b in runs:
         kept.append(raw[at:a])
@@ -389,6 +425,7 @@ def stage(spark, docs, sf_dir):
     """Pipeline stage: texts without repeated strings; a text's remaining
     bytes that are no UTF-8 at a cut are dropped, and so are documents that
     lose all of their text."""
+    prepare(spark)
 
     @F.pandas_udf("string")
     def without(text: pd.Series, spans: pd.Series) -> pd.Series:
