@@ -13,11 +13,16 @@ NULL_ID = -(2**63)
 ARROW_ROWS = 512
 
 
-def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """One input table of a data folder.  Rows reach Python workers in small
+def prepare(spark: SparkSession) -> None:
+    """Session settings of the operators: rows reach Python workers in small
     batches, since texts can be long."""
     configure_session(spark, "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+
+
+def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """One input table of a data folder."""
+    prepare(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -29,7 +34,7 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = scratch_path(spark, label)
-    df.write.parquet(path)
+    df.write.option("compression", "zstd").parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

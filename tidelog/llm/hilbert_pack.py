@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.bpe import codec, vocabulary_path
-from tidelog.llm.common import materialise, table
+from tidelog.llm.common import materialise, prepare, table
 
 SEQUENCE, END_ID = 2048, 1
 BUCKETS, DIMENSIONS, BITS = 256, 4, 15
@@ -160,4 +160,5 @@ def query(spark, sf_dir):
 
 def stage(spark, docs, sf_dir):
     """Pipeline stage: the packed pieces with their ids."""
+    prepare(spark)
     return hilbert_pack(docs)

@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import materialise
+from tidelog.llm.common import materialise, prepare, table
 
 SPACES = "[ \\t-\\r]+"
 TRIMMED = " \t\n\x0b\x0c\r"
@@ -207,8 +207,6 @@ FROM r JOIN j ON r.source IS NOT DISTINCT FROM j.source
 
 
 def query(spark, sf_dir):
-    from tidelog.llm.common import table
-
     return host_quality(table(spark, sf_dir, "documents")).select(*QUERY_COLUMNS)
 
 
@@ -218,6 +216,7 @@ def stage(spark, docs, sf_dir):
     The hosts' verdicts come from a first pass; a second one takes the
     measures again, which is cheaper than shuffling the texts to join them.
     """
+    prepare(spark)
     counted = materialise(with_rules(document_measures(docs)).select("host", "any_failed"), "hosts")
     rejected = (
         host_verdicts(counted).where("host_rejected").select(F.col("host").alias("judged_host"))

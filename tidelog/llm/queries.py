@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from tidelog.llm import (
     adaptive_ann,
     bpe_tree,
@@ -28,6 +29,7 @@ def queries() -> dict:
         "op8_line_runs": line_runs.query,
         "op9_jaccard_join": jaccard_join.query,
         "op10_suffix_dedup": suffix_dedup.query,
+        "pipeline": corpus_pipeline.run,
     }
 
 
