@@ -24,7 +24,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import id_or_null, materialise, table
+from tidelog.llm.common import id_or_null, materialise, prepare, table
 from tidelog.llm.host_quality import TRIMMED
 
 #: Shortest run of lines that is removed; each window of so many lines gives a fingerprint.
@@ -171,6 +171,7 @@ def query(spark, sf_dir):
 def stage(spark, docs, sf_dir):
     """Pipeline stage: documents without later repeated runs of lines; one
     that loses every line with a word goes."""
+    prepare(spark)
     out = drop_repeated_lines(docs)
     return out.where((F.col("lr_removed") == 0) | (F.col("lr_removed") < F.col("lr_lines"))).drop(
         "lr_lines", "lr_removed"
