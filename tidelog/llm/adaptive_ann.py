@@ -33,8 +33,9 @@ from tidelog.llm.common import materialise, table
 K, QUERY_STEP = 10, 100
 #: Rows that the centroids are fitted to, iterations, and rows for each list.
 SAMPLE, ITERATIONS, LIST_ROWS, MAX_LISTS = 20_000, 8, 400, 1024
-#: Share of the lists that a query probes (at least MIN_PROBES of them).
-PROBE_SHARE, MIN_PROBES = 0.35, 8
+#: Share of the lists that a query probes (at least MIN_PROBES of them): the given
+#: vectors have hardly any clusters, so that a small share would miss neighbours.
+PROBE_SHARE, MIN_PROBES = 0.7, 16
 BLOCK, QUERY_BLOCK = 2048, 1024
 #: Rotated dimensions in a column block, and the width of the test.
 COLUMNS, EPSILON = 16, 2.1
