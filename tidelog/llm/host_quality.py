@@ -42,13 +42,12 @@ def _has_word(line: Column) -> Column:
     return F.btrim(line, F.lit(TRIMMED)) != ""
 
 
-def document_measures(docs: DataFrame, carried: bool = False) -> DataFrame:
-    """doc_id, host and the measures of every whole text; with ``carried``
-    also the input row, as the struct ``row``."""
-    whole = [F.struct(*docs.columns).alias("row")] if carried else []
-    keys = ["doc_id", "host"] + ["row"] * carried
+def document_measures(docs: DataFrame) -> DataFrame:
+    """doc_id, host, a hash of the text and the measures of every whole text."""
+    keys = ["doc_id", "host", "text_hash"]
+    text = F.coalesce("text", F.lit(""))
     d = docs.select(
-        "doc_id", F.col("source").alias("host"), F.coalesce("text", F.lit("")).alias("t"), *whole
+        "doc_id", F.col("source").alias("host"), F.xxhash64(text).alias("text_hash"), text.alias("t")
     )
     d = d.select(
         *keys,
@@ -213,14 +212,23 @@ def query(spark, sf_dir):
 def stage(spark, docs, sf_dir):
     """Pipeline stage: the documents that are kept, unchanged.
 
-    The hosts' verdicts come from a first pass; a second one takes the
-    measures again, which is cheaper than shuffling the texts to join them.
+    The verdicts are written and joined with the documents by identifier,
+    text and host; equal rows have one verdict.
     """
     prepare(spark)
-    counted = materialise(with_rules(document_measures(docs)).select("host", "any_failed"), "hosts")
-    rejected = (
-        host_verdicts(counted).where("host_rejected").select(F.col("host").alias("judged_host"))
+    rules = with_rules(document_measures(docs))
+    rules = materialise(rules.select("doc_id", "host", "text_hash", "base_failed", "any_failed"), "rules")
+    rejected = host_verdicts(rules).where("host_rejected").select(F.col("host").alias("judged_host"))
+    passed = rules.where(~F.col("base_failed")).join(
+        rejected, F.col("host").eqNullSafe(F.col("judged_host")), "left_anti"
     )
-    passed = with_rules(document_measures(docs, carried=True)).where(~F.col("base_failed"))
-    kept = passed.join(rejected, F.col("host").eqNullSafe(F.col("judged_host")), "left_anti")
-    return kept.select("row.*")
+    kept = passed.select(
+        F.col("doc_id").alias("hq_id"), F.col("host").alias("hq_host"), F.col("text_hash").alias("hq_text")
+    ).distinct()
+    same = (
+        F.col("doc_id").eqNullSafe(F.col("hq_id"))
+        & F.col("source").eqNullSafe(F.col("hq_host"))
+        & (F.xxhash64(F.coalesce("text", F.lit(""))) == F.col("hq_text"))
+    )
+    # the texts are shuffled at any size, so that the plan doesn't depend on it
+    return docs.join(materialise(kept, "kept").hint("merge"), same, "left_semi")
