@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import tempfile
+import zipfile
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -14,10 +18,25 @@ ARROW_ROWS = 512
 
 
 def prepare(spark: SparkSession) -> None:
-    """Session settings of the operators: rows reach Python workers in small
-    batches, since texts can be long."""
+    """Prepares a session for the operators: rows reach Python workers in small
+    batches, since texts can be long, and the workers can import this package."""
     configure_session(spark, "UTC")
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    ship_package(spark)
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Sends this package to the Python workers of the session, once."""
+    context = spark.sparkContext
+    if getattr(context, "_tidelog_shipped", False):
+        return
+    package = Path(__file__).resolve().parents[1]
+    archive = Path(tempfile.mkdtemp(prefix="tidelog-")) / "tidelog-package.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted(package.rglob("*.py")):
+            z.write(file, file.relative_to(package.parent))
+    context.addPyFile(str(archive))
+    context._tidelog_shipped = True
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -16,7 +16,9 @@ with the members outside of its component.  What links joins components, and
 lists within one component are done.  Then the pairs across components that
 are left are taken, so that no link between components is lost.
 
-Candidates are verified leader by leader with DivideSkip: the lists of the
+Candidates first pass a bit signature: sets that link differ in at most a
+ninth of their sizes' sum, and every bit in which the signatures differ is a
+shingle that only one of them has.  The rest are verified leader by leader with DivideSkip: the lists of the
 leader's shingles over a block of members are cut into long and short ones,
 the short ones are merged with a heap, and members that reach the required
 overlap less the number of long lists are looked up in the long ones by
@@ -55,6 +57,8 @@ PERCENT = 80
 #: Buckets of the counts, and shingles that a task counts at a time.
 BUCKETS, AT_A_TIME = 1 << 18, 2_000_000
 SHINGLE_BITS, DOC_BITS = 26, 23
+#: Bits of a signature.
+SIGNATURE = 1024
 #: Rounds of leaders, members of a block, rows of a verifying task.
 STARS, BLOCK, TASK_ROWS = 3, 256, 1000
 #: Cost of a merge step against a lookup, which sets the number of long lists.
@@ -189,6 +193,28 @@ def verify(a: np.ndarray, members: list[np.ndarray]) -> list[tuple[int, int]]:
     return [(int(i), int(t)) for i, t in zip(able, total) if t >= need[i]]
 
 
+def signature(s: np.ndarray) -> bytes:
+    """A bit for each shingle, by the high bits of its hash."""
+    bits = np.zeros(SIGNATURE, bool)
+    bits[(s >> np.uint64(40) & np.uint64(SIGNATURE - 1)).astype(np.int64)] = True
+    return np.packbits(bits).tobytes()
+
+
+def _differing(a: pa.Array, b: pa.Array) -> np.ndarray:
+    """Number of bits in which the signatures of two binary columns differ."""
+    x, y = (np.frombuffer(b"".join(c.to_pylist()), np.uint64).reshape(-1, SIGNATURE // 64) for c in (a, b))
+    return np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+
+
+def _may_link(batches):
+    for t in batches:
+        n = t.column("na").to_numpy() + t.column("nb").to_numpy()
+        # the sizes' sum less twice the required intersection
+        most = n - 2 * required(0, n)
+        on = pa.array(_differing(t.column("sa"), t.column("sb")) <= most)
+        yield t.select(["a", "b"]).filter(on)
+
+
 def _verify_rows(rows: pd.DataFrame) -> pd.DataFrame:
     """Linked pairs among a task's leaders (b equals a) and members."""
     found = []
@@ -251,26 +277,39 @@ class ShingleJoin:
 
         def full(batches):
             for b in batches:
-                out = []
+                out, signed = [], []
                 for s in shingle_sets(b.column("text")):
                     if len(s):
                         p = _ordered(s, levels)[: prefix_length(len(s))]
                         at = np.flatnonzero(in_map(_short(p).astype(np.int64), words.value, SHINGLE_BITS))
-                        out.append((p[at].view(np.int64), class_id(s), len(s), at))
-                out = [x for x in out if len(x[3])]
+                        if len(at):
+                            out.append((p[at].view(np.int64), class_id(s), len(s), at))
+                            signed.append(signature(s))
                 if out:
                     sizes = [len(x[3]) for x in out]
+                    cids = np.array([x[1] for x in out], np.int64)
+                    n = np.array([x[2] for x in out], np.int64)
+                    total, none = sum(sizes), pa.nulls(len(out), pa.int64())
                     yield pa.RecordBatch.from_arrays(
                         [
                             pa.array(np.concatenate([x[0] for x in out])),
-                            pa.array(np.repeat(np.array([x[1] for x in out], np.int64), sizes)),
-                            pa.array(np.repeat(np.array([x[2] for x in out], np.int64), sizes)),
+                            pa.array(np.repeat(cids, sizes)),
+                            pa.array(np.repeat(n, sizes)),
                             pa.array(np.concatenate([x[3] for x in out])),
+                            pa.nulls(total, pa.binary()),
                         ],
-                        ["k", "cid", "n", "pos"],
+                        ["k", "cid", "n", "pos", "sig"],
+                    )
+                    yield pa.RecordBatch.from_arrays(
+                        [none, pa.array(cids), pa.array(n), none, pa.array(signed, pa.binary())],
+                        ["k", "cid", "n", "pos", "sig"],
                     )
 
-        entries = self.docs.mapInArrow(full, "k long, cid long, n long, pos long").distinct()
+        schema = "k long, cid long, n long, pos long, sig binary"
+        raw = materialise(self.docs.mapInArrow(full, schema), "postings")
+        signed = raw.where(F.col("sig").isNotNull()).select("cid", "n", "sig")
+        self.signatures = materialise(signed.dropDuplicates(["cid"]), "signatures")
+        entries = raw.where(F.col("k").isNotNull()).drop("sig").distinct()
         entries = materialise(entries, "short-lists")
         several = (
             entries.groupBy("k")
@@ -280,9 +319,18 @@ class ShingleJoin:
         )
         return materialise(entries.join(several, "k", "left_semi"), "shared-lists")
 
-    def _sets(self, lists: DataFrame) -> DataFrame:
-        """cid and the ordered set (8 bytes a shingle) of the lists' classes."""
-        wanted = materialise(lists.select("cid").distinct(), "classes")
+    def _passed(self, pairs: DataFrame) -> DataFrame:
+        """The pairs whose signatures allow a link."""
+        sign = lambda x: self.signatures.select(
+            F.col("cid").alias(x), F.col("n").alias(f"n{x}"), F.col("sig").alias(f"s{x}")
+        )
+        both = pairs.join(sign("b"), "b").join(sign("a"), "a")
+        return both.mapInArrow(_may_link, "a long, b long")
+
+    def _sets(self, pairs: DataFrame) -> DataFrame:
+        """cid and the ordered set (8 bytes a shingle) of the pairs' classes."""
+        classes = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid")))
+        wanted = materialise(classes.distinct(), "classes")
         reps = self.rows.groupBy("cid").agg(F.min(id_or_null()).alias("x"))
         words = self.docs.sparkSession.sparkContext.broadcast(
             bit_map(reps.join(wanted, "cid", "left_semi").select("x"), DOC_BITS)
@@ -305,8 +353,9 @@ class ShingleJoin:
         sets = self.docs.mapInArrow(whole, "cid long, s binary").join(wanted, "cid", "left_semi")
         return materialise(sets.dropDuplicates(["cid"]), "sets")
 
-    def _verified(self, pairs: DataFrame, n: int, sets: DataFrame) -> DataFrame:
+    def _verified(self, pairs: DataFrame, n: int) -> DataFrame:
         """Those of the n pairs (a, b) that link, as u, v, overlap."""
+        sets = self._sets(pairs)
         size = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
         tasks = max(1, n // TASK_ROWS)
         dealt = materialise(
@@ -324,11 +373,27 @@ class ShingleJoin:
         )
         return rows.groupBy("task").applyInPandas(_verify_rows, "u long, v long, overlap long")
 
+    def _apart(self, pairs: DataFrame, comp: DataFrame) -> DataFrame:
+        """The pairs (a, b) of different components."""
+        of = lambda x: comp.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
+        both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
+        return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+
+    def _linked(self, pairs: DataFrame, links: DataFrame | None, comp: DataFrame | None):
+        """The links found so far and their components, after trying ``pairs``."""
+        passed = materialise(self._passed(pairs), "passed-pairs")
+        if not (n := passed.count()):
+            return links, comp
+        found = materialise(self._verified(passed, n).select("u", "v"), "links")
+        if found.isEmpty():
+            return links, comp
+        links = found if links is None else links.unionByName(found)
+        return links, components(links)
+
     def _components(self, lists: DataFrame) -> DataFrame | None:
         """node and comp of the classes that are linked."""
         if lists.isEmpty():
             return None
-        sets = self._sets(lists)
         able = (
             # sizes that can link, and enough shingles left after a first common one at these places
             (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
@@ -371,14 +436,22 @@ class ShingleJoin:
                 turned = done.select(F.col("b").alias("a"), F.col("a").alias("b"))
                 pairs = pairs.join(done.unionByName(turned), ["a", "b"], "left_anti")
             pairs = materialise(pairs, "candidate-pairs")
-            if not (n := pairs.count()):
-                continue
-            found = materialise(self._verified(pairs, n, sets).select("u", "v"), "links")
             done = pairs if done is None else done.unionByName(pairs)
-            if found.isEmpty():
+            # one leader for each member first; what that joins needs no other
+            best = pairs.groupBy("b").agg(
+                F.min(F.struct(F.xxhash64("a", F.lit(turn)).alias("h"), "a")).alias("l")
+            )
+            best = materialise(best.select("l.a", "b"), "first-pairs")
+            rest = pairs.join(best, ["a", "b"], "left_anti")
+            for tried in (best, rest):
+                if comp is not None:
+                    tried = materialise(self._apart(tried, comp), "tried-pairs")
+                links, comp = self._linked(tried, links, comp)
+            if comp is None:
                 continue
-            links = found if links is None else links.unionByName(found)
-            comp = components(links)
+            if turn == 0:  # lists of two are done
+                sizes = lists.groupBy("k").count().where("count > 2").select("k")
+                lists = materialise(lists.join(sizes, "k", "left_semi"), "longer-lists")
             if turn == STARS:
                 break
             labelled = lists.join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
