@@ -38,6 +38,8 @@ from tidelog.session import scratch_path
 STRIDE, END_ID, PAD_ID = 512, 50256, 0
 #: Slots of a shard, the key of the order, and the network's rounds.
 SHARD, KEY, ROUNDS = 8192, 20260101, 6
+#: Sequences of an Arrow batch.
+BATCH = 1024
 
 
 def feistel(places: np.ndarray, n: int, key: int = KEY) -> np.ndarray:
@@ -71,12 +73,23 @@ def _width(c) -> str:
     return "<u2" if len(c.pieces) <= 1 << 16 else "<u4"
 
 
-def _sequences(raw: bytes, width: str) -> tuple[np.ndarray, int]:
-    """The ids of a text as rows of STRIDE ids, and their number."""
-    ids = np.append(np.frombuffer(raw, "<u4"), END_ID)
-    out = np.full(-(-len(ids) // STRIDE) * STRIDE, PAD_ID, width)
-    out[: len(ids)] = ids
-    return out.reshape(-1, STRIDE), len(ids)
+def _cells(encoded: list[bytes], width: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The ids of texts as rows of STRIDE ids, each text's number of ids, and
+    of rows."""
+    sizes = np.array([len(raw) // 4 + 1 for raw in encoded], np.int64)
+    counts = -(-sizes // STRIDE)
+    flat = np.full(int(counts.sum()) * STRIDE, PAD_ID, width)
+    for raw, size, end in zip(encoded, sizes, np.cumsum(counts) * STRIDE):
+        start = end - -(-size // STRIDE) * STRIDE
+        flat[start : start + size - 1] = np.frombuffer(raw, "<u4")
+        flat[start + size - 1] = END_ID
+    return flat.reshape(-1, STRIDE), sizes, counts
+
+
+def _binary(cells: np.ndarray | bytes, n: int, size: int) -> pa.Array:
+    """n binary values of one size from their joint bytes."""
+    offsets = np.arange(n + 1, dtype=np.int32) * size
+    return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(cells)])
 
 
 def _by_split(docs: DataFrame) -> DataFrame:
@@ -128,21 +141,27 @@ def write_training_order(docs: DataFrame, folder: str, vocabulary: str | None =
     def cut(batches):
         c, seen = codec(words), {}
         for b in batches:
-            rows = []
             encoded = c.encode_all(b.column("text").fill_null("").to_pylist())
-            keys = zip(*(b.column(k).to_pylist() for k in ("path", "block", "doc_id")))
-            for (path, block, doc), raw in zip(keys, encoded):
-                where = path, block
-                cells, n = _sequences(raw, _width(c))
-                at = seen.get(where, 0)
-                seen[where] = at + len(cells)
-                for i, row in enumerate(cells):
-                    rows.append((*where, at + i, doc, i, min(STRIDE, n - i * STRIDE), row.tobytes()))
-            for i in range(0, len(rows), 2000):
+            cells, sizes, counts = _cells(encoded, _width(c))
+            first = np.zeros(len(counts), np.int64)
+            places = zip(b.column("path").to_pylist(), b.column("block").to_pylist(), counts.tolist())
+            for i, (path, block, n) in enumerate(places):
+                first[i] = seen.get((path, block), 0)
+                seen[path, block] = int(first[i]) + n
+            row = np.repeat(np.arange(len(counts)), counts)
+            part = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
+            for at in range(0, len(row), BATCH):
+                r, p = row[at : at + BATCH], part[at : at + BATCH]
+                take = pa.array(r)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(x, {0: pa.string(), 6: pa.binary()}.get(k, pa.int64()))
-                        for k, x in enumerate(zip(*rows[i : i + 2000]))
+                        b.column("path").take(take),
+                        b.column("block").take(take),
+                        pa.array(first[r] + p),
+                        b.column("doc_id").take(take),
+                        pa.array(p),
+                        pa.array(np.minimum(STRIDE, sizes[r] - p * STRIDE)),
+                        _binary(cells[at : at + BATCH], len(r), cells.itemsize * STRIDE),
                     ],
                     ["path", "block", "local", "doc_id", "part", "n_ids", "ids"],
                 )
@@ -161,14 +180,16 @@ def write_training_order(docs: DataFrame, folder: str, vocabulary: str | None =
                 files.move(name, f"{root}/shard-{shard:08d}.bin")
 
         for b in batches:
-            slots = b.column("slot").to_pylist()
-            for slot, ids in zip(slots, b.column("ids").to_pylist()):
-                if slot // SHARD != shard:
+            shards = b.column("shard").to_numpy()
+            ids = b.column("ids").to_pylist()
+            starts = np.flatnonzero(np.concatenate([[True], shards[1:] != shards[:-1]])) if len(ids) else []
+            for i, to in zip(starts, [*starts[1:], len(ids)]):
+                if shards[i] != shard:
                     close()
-                    shard = slot // SHARD
+                    shard = int(shards[i])
                     name = f"{root}/attempt-{uuid.uuid4().hex}"
                     out = files.open_output_stream(name)
-                out.write(ids)
+                out.write(b"".join(ids[i:to]))
             yield pa.RecordBatch.from_arrays(
                 [b.column(k) for k in ("slot", "shard", "byte_offset", "doc_id", "part", "n_ids")],
                 ["slot", "shard", "byte_offset", "doc_id", "part", "n_ids"],
@@ -215,16 +236,13 @@ def read_training_order(spark, folder: str, width: int, first_slot: int = 0) ->
                 with files.open_input_file(f"{root}/shard-{shard:08d}.bin") as f:
                     slot = max(first_slot, shard * SHARD)
                     f.seek((slot - shard * SHARD) * size)
-                    while raw := f.read(size * 1024):
-                        rows = [raw[i : i + size] for i in range(0, len(raw), size)]
+                    while raw := f.read(size * BATCH):
+                        n = len(raw) // size
                         yield pa.RecordBatch.from_arrays(
-                            [
-                                pa.array(range(slot, slot + len(rows)), pa.int64()),
-                                pa.array(rows, pa.binary()),
-                            ],
+                            [pa.array(np.arange(slot, slot + n)), _binary(raw, n, size)],
                             ["slot", "ids"],
                         )
-                        slot += len(rows)
+                        slot += n
 
     tasks = spark.createDataFrame(wanted, "shard long").repartition(max(1, len(wanted)), "shard")
     return tasks.mapInArrow(read, "slot long, ids binary")
@@ -235,6 +253,7 @@ def query(spark, sf_dir):
     manifest = write_training_order(table(spark, sf_dir, "documents"), folder)
     width = np.dtype(_width(codec(vocabulary_path()))).itemsize
     back = read_training_order(spark, folder, width).select("slot", F.crc32("ids").alias("ids_crc32"))
-    return manifest.join(back, "slot").select(
+    # both grow with the input, though the plan takes the list of shards for a small table
+    return manifest.join(back.hint("merge"), "slot").select(
         "slot", "shard", "byte_offset", "doc_id", "part", "n_ids", "ids_crc32"
     )
