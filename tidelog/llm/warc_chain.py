@@ -81,7 +81,7 @@ def revisits(pages: DataFrame) -> DataFrame:
         .where((F.col("times") > 1) & F.col("refers_to").isNotNull())
         .select("digest", "refers_to")
     )
-    again = d.join(first, "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to")))
+    again = d.join(first.hint("merge"), "digest").where(~F.col("page_id").eqNullSafe(F.col("refers_to")))
     return again.distinct()
 
 
@@ -210,16 +210,20 @@ def entries(nodes: DataFrame) -> DataFrame:
     )
     reached = materialise(exits.where(F.col("at") == 0).select("path", "at"), "reached")
     targets = exits.select("path", F.col("leaves").alias("at")).unionByName(reached).distinct()
-    jump = materialise(exits.join(targets, ["path", "at"]).select("path", "at", "leaves"), "jump")
+    # tables of offsets compress to little, so their files' sizes would call for a broadcast
+    jump = exits.join(targets.hint("merge"), ["path", "at"]).select("path", "at", "leaves")
+    jump = materialise(jump, "jump")
     every, n = jump.select("path", "at"), reached.count()
     while True:
-        ahead = reached.join(jump, ["path", "at"]).select("path", F.col("leaves").alias("at"))
-        known = ahead.join(every, ["path", "at"], "left_semi")
+        ahead = reached.join(jump.hint("merge"), ["path", "at"])
+        ahead = ahead.select("path", F.col("leaves").alias("at"))
+        known = ahead.join(every.hint("merge"), ["path", "at"], "left_semi")
         grown = materialise(reached.unionByName(known).distinct(), "reached")
         if (more := grown.count()) == n:
             return grown
         onward = jump.select("path", F.col("at").alias("leaves"), F.col("leaves").alias("far"))
-        doubled = jump.join(onward, ["path", "leaves"]).select("path", "at", F.col("far").alias("leaves"))
+        doubled = jump.join(onward.hint("merge"), ["path", "leaves"])
+        doubled = doubled.select("path", "at", F.col("far").alias("leaves"))
         reached, jump, n = grown, materialise(doubled, "jump"), more
 
 
@@ -240,7 +244,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     able = every.where((F.col("at") >= 0) & F.col("next").isNotNull())
     nodes = able.select("path", "block", "at", "next")
     starts = materialise(
-        entries(nodes).join(nodes, ["path", "at"]).select("path", "block", "at"), "starts"
+        entries(nodes).join(nodes.hint("merge"), ["path", "at"]).select("path", "block", "at"), "starts"
     )
     on = (
         nodes.groupBy("path", "block")
@@ -248,7 +252,7 @@ def read_warc(spark: SparkSession, folder: str) -> DataFrame:
         .applyInPandas(_walk, "path string, block long, at long")
     )
     on = materialise(on.select("path", "at"), "records")
-    records = able.join(on, ["path", "at"])
+    records = able.join(on.hint("merge"), ["path", "at"])
     ready = records.where(F.col("whole") | (F.col("type") == "revisit"))
     facts = ["page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to"]
     broken = records.where(~F.col("whole") & (F.col("type") != "revisit"))
