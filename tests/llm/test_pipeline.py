@@ -119,6 +119,13 @@ def test_stages(spark, duck):
     assert sum(r["length"] for r in packed.select("length").collect()) == total
 
 
-def test_pipeline_runs(spark):
-    out = corpus_pipeline.run(spark, SF001)
-    assert out.count() > 0 and "sequence_id" in out.columns
+def test_run_chains_the_stages(spark, monkeypatch):
+    assert [n for n, _ in corpus_pipeline.STAGES] == [
+        "quality_rules", "line_dedup", "ngram_jaccard_join", "suffix_array_dedup", "packing"
+    ]
+    even = ("even", lambda s, docs, sf_dir: docs.where("doc_id % 2 = 0"))
+    third = ("third", lambda s, docs, sf_dir: docs.where("doc_id % 3 = 0").select("doc_id"))
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [even, third])
+    ids = [r["doc_id"] for r in corpus_pipeline.run(spark, SF001).collect()]
+    n = spark.read.parquet(f"{SF001}/documents.parquet").count()
+    assert sorted(ids) == list(range(0, n, 6))
