@@ -189,6 +189,50 @@ def test_line_runs(spark, docs):
     assert line_runs.drop_repeated_lines(frame(spark, [])).count() == 0
 
 
+def test_line_stage_finds_long_passages_on_few_lines(spark, docs):
+    def passage(n, word):
+        return " ".join(f"{word}{i}" for i in range(n))
+
+    def windows(text):
+        lines = (text or "").split("\n")
+        at = [i for i, s in enumerate(lines) if s.strip(" \t\n\x0b\x0c\r")]
+        out = []
+        for i in range(len(at)):
+            for size in (1, 2, 3):
+                part = [lines[j] for j in at[i : i + size]]
+                if len(part) == size and (size == 3 or sum(len(s.split()) for s in part) > line_runs.LONG_WORDS):
+                    out.append((tuple(part), at[i : i + size]))
+        if 0 < len(at) < 3 and not any(len(p) == len(at) for p, _ in out):
+            out.append((("whole", *[lines[j] for j in at]), at))
+        return lines, at, out
+
+    long, left, right = passage(51, "a"), passage(30, "b"), passage(21, "c")
+    more = [
+        *docs,
+        (800, f"{long}\nx1\nx2\n{left}\n{right}\n{passage(50, 'd')}\nshort line"),
+        (801, f"y1\n{long}\ny2"),  # one line
+        (802, f"z1\nz2\n{left}\n \n{right}"),  # two lines
+        (803, f"v1\n{passage(50, 'd')}\nv2"),  # 50 words aren't more than 50
+        (804, "short line"),
+        (805, "short line\n"),  # the whole text again
+        (806, long),
+        (807, f"{long}\n{long}"),
+    ]
+    seen, want = set(), {}
+    for d, t in sorted(more):
+        lines, at, found = windows(t)
+        cut = set()
+        for content, places in found:
+            cut |= set(places) if content in seen else set()
+            seen.add(content)
+        if not at or len(cut) < len(at):
+            want[d] = "\n".join(s for i, s in enumerate(lines) if i not in cut) if t is not None else None
+    got = {r["doc_id"]: r["text"] for r in line_runs.stage(spark, frame(spark, more), None).collect()}
+    assert got == want
+    assert got[801] == "y1\ny2" and got[802] == "z1\nz2\n " and got[804] == "short line"
+    assert got[803].count("\n") == 2 and not {1, 805, 806, 807} & set(got)
+
+
 # ------------------------------------------------------------ host rules
 
 

@@ -9,6 +9,12 @@ comparing all windows around the fingerprint.  A window is removed when an
 equal one starts earlier (smaller doc_id, or earlier in the same document),
 so that overlapping windows make up the longest repeated runs.
 
+A passage can be long on one or two lines.  With ``long_words`` (the
+pipeline's stage) windows of one and two lines that hold more words than that
+are compared too, and documents of fewer than ``MIN_RUN`` lines with fewer
+words as a whole among each other.  The query has none, as its SQL defines
+windows of ``MIN_RUN`` lines only.
+
 Everything is DataFrame code without Python workers.  No group is gathered
 and no pairs are made: first positions come from map-side combined minima,
 and joins on a hot line are split by adaptive execution.
@@ -29,6 +35,8 @@ from tidelog.llm.host_quality import TRIMMED
 
 #: Shortest run of lines that is removed; each window of so many lines gives a fingerprint.
 MIN_RUN = 3
+#: Shorter runs are removed by the stage where they hold more words than this.
+LONG_WORDS = 50
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -39,47 +47,59 @@ def _keyed(docs: DataFrame) -> DataFrame:
     )
 
 
-def line_windows(docs: DataFrame) -> DataFrame:
-    """One row per window: its document, first line, content hash (128 bits)
-    and the fingerprint it selects."""
+def line_windows(docs: DataFrame, long_words: int | None = None) -> DataFrame:
+    """One row per window: its document, first line, number of lines, content
+    hash (128 bits) and the fingerprint it selects."""
     d = _keyed(docs).select("k_id", "k_text", F.split("t", "\n").alias("raw"))
     d = d.select(
         "k_id",
         "k_text",
         F.filter("raw", lambda s: F.btrim(s, F.lit(TRIMMED)) != "").alias("lines"),
-    ).where(F.size("lines") >= MIN_RUN)
-    d = d.select(
-        "k_id",
-        "k_text",
-        F.transform(
-            "lines",
-            lambda s: F.struct(F.xxhash64(s).alias("a"), F.xxhash64(F.lit(1), s).alias("b")),
-        ).alias("h"),
-    )
+    ).where(F.size("lines") >= (MIN_RUN if long_words is None else 1))
+
+    def hashes(s):
+        h = [F.xxhash64(s).alias("a"), F.xxhash64(F.lit(1), s).alias("b")]
+        if long_words is not None:
+            h.append(F.size(F.split(F.btrim(s, F.lit(TRIMMED)), f"[{TRIMMED}]+")).alias("words"))
+        return F.struct(*h)
 
-    def window(j):
-        part = [F.get("h", j + i) for i in range(MIN_RUN)]
-        low = F.least(*[x["a"] for x in part])
-        at = F.greatest(*[F.when(x["a"] == low, j + i) for i, x in enumerate(part)])
+    d = d.select("k_id", "k_text", F.transform("lines", hashes).alias("h"))
+
+    def window(j, size=MIN_RUN, kind=()):
+        part = [F.get("h", j + i) for i in range(size)]
+        low = F.least(*[x["a"] for x in part]) if size > 1 else part[0]["a"]
+        at = [F.when(x["a"] == low, j + i) for i, x in enumerate(part)]
         return F.struct(
             j.alias("start"),
-            F.xxhash64(*[x["a"] for x in part]).alias("w1"),
-            F.xxhash64(*[x["b"] for x in part]).alias("w2"),
+            F.lit(size).alias("size"),
+            F.xxhash64(*kind, *[x["a"] for x in part]).alias("w1"),
+            F.xxhash64(*kind, *[x["b"] for x in part]).alias("w2"),
             low.alias("print"),
-            at.alias("print_at"),
+            (F.greatest(*at) if size > 1 else j).alias("print_at"),
         )
 
-    d = d.select(
-        "k_id",
-        "k_text",
-        F.explode(F.transform(F.sequence(F.lit(0), F.size("h") - MIN_RUN), window)).alias("w"),
-    )
+    windows = F.transform(F.sequence(F.lit(0), F.size("h") - MIN_RUN), lambda j: window(j))
+    if long_words is not None:
+        n = F.size("h")
+
+        def all_windows(j):
+            out = [F.when(j + MIN_RUN <= n, window(j))]
+            for size in range(1, MIN_RUN):
+                words = sum((F.get("h", j + i)["words"] for i in range(size)), F.lit(0))
+                long = words > long_words
+                out.append(F.when((j + size <= n) & long, window(j, size)))
+                # the text of a short document is one window of its own kind
+                out.append(F.when((j == 0) & (n == size) & ~long, window(j, size, (F.lit("whole"),))))
+            return F.filter(F.array(*out), lambda w: w.isNotNull())
+
+        windows = F.flatten(F.transform(F.sequence(F.lit(0), n - 1), all_windows))
+    d = d.select("k_id", "k_text", F.explode(windows).alias("w"))
     return d.select("k_id", "k_text", "w.*")
 
 
-def repeated_windows(docs: DataFrame) -> DataFrame:
-    """Windows of which an equal one starts earlier: k_id, k_text, start."""
-    windows = materialise(line_windows(docs), "line-windows")
+def repeated_windows(docs: DataFrame, long_words: int | None = None) -> DataFrame:
+    """Windows of which an equal one starts earlier: k_id, k_text, start, size."""
+    windows = materialise(line_windows(docs, long_words), "line-windows")
     prints = windows.groupBy("print").agg(
         F.min(F.struct("k_id", "k_text", "print_at")).alias("lo"),
         F.max(F.struct("k_id", "k_text", "print_at")).alias("hi"),
@@ -98,23 +118,23 @@ def repeated_windows(docs: DataFrame) -> DataFrame:
     return (
         near.join(first, ["w1", "w2"])
         .where(F.struct("k_id", "k_text", "start") > F.col("first"))
-        .select("k_id", "k_text", "start")
+        .select("k_id", "k_text", "start", "size")
     )
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
-    """Per document with removed lines: k_id, k_text, and the removed lines'
-    numbers among its lines with a word (sorted)."""
-    starts = repeated_windows(docs)
+def removed_lines(docs: DataFrame, long_words: int | None = None) -> DataFrame:
+    """Per document with removed lines: k_id, k_text, and the removed windows'
+    first lines' numbers among its lines with a word, with their sizes (sorted)."""
+    starts = repeated_windows(docs, long_words)
     return starts.groupBy("k_id", "k_text").agg(
-        F.array_sort(F.collect_set("start")).alias("starts")
+        F.array_sort(F.collect_set(F.struct("start", "size"))).alias("starts")
     )
 
 
-def drop_repeated_lines(docs: DataFrame) -> DataFrame:
+def drop_repeated_lines(docs: DataFrame, long_words: int | None = None) -> DataFrame:
     """``docs`` with shortened texts, plus ``lr_lines`` (lines with a word)
     and ``lr_removed``; a text is returned unchanged where nothing goes."""
-    gone = materialise(removed_lines(docs), "line-runs").select(
+    gone = materialise(removed_lines(docs, long_words), "line-runs").select(
         F.col("k_id").alias("lr_id"), F.col("k_text").alias("lr_text"), F.col("starts").alias("lr_starts")
     )
     left = docs.withColumn("lr_key", id_or_null()).withColumn(
@@ -138,7 +158,7 @@ def drop_repeated_lines(docs: DataFrame) -> DataFrame:
             F.transform(
                 "lr_starts",
                 lambda s: F.transform(
-                    F.sequence(F.lit(0), F.lit(MIN_RUN - 1)), lambda o: F.get("lr_worded", s + o)
+                    F.sequence(F.lit(0), s["size"] - 1), lambda o: F.get("lr_worded", s["start"] + o)
                 ),
             )
         )
@@ -169,10 +189,10 @@ def query(spark, sf_dir):
 
 
 def stage(spark, docs, sf_dir):
-    """Pipeline stage: documents without later repeated runs of lines; one
-    that loses every line with a word goes."""
+    """Pipeline stage: documents without later repeated runs of lines, short
+    ones of many words too; one that loses every line with a word goes."""
     prepare(spark)
-    out = drop_repeated_lines(docs)
+    out = drop_repeated_lines(docs, LONG_WORDS)
     return out.where((F.col("lr_removed") == 0) | (F.col("lr_removed") < F.col("lr_lines"))).drop(
         "lr_lines", "lr_removed"
     )
