@@ -108,6 +108,29 @@ def test_jaccard_stage_keeps_one_of_each(spark, docs):
     assert sorted(r["doc_id"] for r in out.collect()) == sorted(want)
 
 
+def test_jaccard_stage_with_null_and_repeated_ids(spark, docs):
+    words = [f"n{i}" for i in range(200)]
+    copy, other, lonely = " ".join(words[:100]), " ".join(words[100:160]), " ".join(words[160:])
+    rows = [
+        *docs,
+        (None, docs[1][1]),  # a copy of one that has an id
+        (None, lonely),  # a unique one
+        (None, None),
+        (5000, docs[0][1]),  # a later copy, whose id has another text too
+        (5000, other),
+        (None, copy),  # near copies without any id
+        (None, copy + " more"),
+        (None, copy + " words"),
+        (None, copy),
+    ]
+    got = rows_of(jaccard_join.stage(spark, frame(spark, rows), None).select("doc_id", "text"))
+    kept = {d for d, n, c in brute.jaccard_components(docs) if c == d}
+    copies = [r for r in got if r[0] is None and (r[1] or "").startswith(copy)]
+    assert len(copies) == 1
+    want = [r for r in docs if r[0] in kept] + [(None, lonely), (None, None), (5000, other)]
+    assert by_key(r for r in got if r not in copies) == by_key(want)
+
+
 def test_components(spark):
     pairs = [(5, 4), (4, 3), (3, 9), (10, 11), (12, 11), (7, 7), (2, 9), *[(100, i) for i in range(101, 130)]]
     got = dict(rows_of(components(spark.createDataFrame(pairs, "u long, v long"))))

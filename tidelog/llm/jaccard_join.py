@@ -45,7 +45,7 @@ from math import ceil, log
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelog.llm.common import NULL_ID, id_or_null, materialise, prepare, table
@@ -84,7 +84,7 @@ def class_id(s: np.ndarray) -> int:
 def _measure(batches):
     """A row for each text, and the task's counts of repeated shingles."""
     counts, pending, size = np.zeros(BUCKETS, np.int64), [], 0
-    names = ["doc_id", "n", "cid", "bucket", "c"]
+    names = ["doc_id", "h", "n", "cid", "bucket", "c"]
 
     def flush():
         if pending:
@@ -105,6 +105,7 @@ def _measure(batches):
         yield pa.RecordBatch.from_arrays(
             [
                 b.column("doc_id"),
+                b.column("h"),
                 pa.array([len(s) for s in sets], pa.int64()),
                 pa.array([class_id(s) if len(s) else None for s in sets], pa.int64()),
                 none,
@@ -116,7 +117,7 @@ def _measure(batches):
     found = np.flatnonzero(counts)
     none = pa.nulls(len(found), pa.int64())
     yield pa.RecordBatch.from_arrays(
-        [none, none, none, pa.array(found, pa.int64()), pa.array(counts[found], pa.int64())], names
+        [none, none, none, none, pa.array(found, pa.int64()), pa.array(counts[found], pa.int64())], names
     )
 
 
@@ -230,6 +231,10 @@ def _verify_rows(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["u", "v", "overlap"]).astype("int64")
 
 
+def text_hash() -> Column:
+    return F.xxhash64(F.coalesce("text", F.lit("")))
+
+
 class ShingleJoin:
     """The steps of the join over one table."""
 
@@ -238,13 +243,18 @@ class ShingleJoin:
 
     def run(self) -> DataFrame:
         """doc_id, n_shingles, component_id of every row."""
-        rows = "doc_id long, n long, cid long, bucket long, c long"
-        measured = materialise(self.docs.mapInArrow(_measure, rows), "shingle-counts")
-        self.rows = measured.where(F.col("n").isNotNull()).select("doc_id", "n", "cid")
+        return self._labelled(self.classes())
+
+    def classes(self) -> DataFrame:
+        """doc_id, h (hash of the text), n, cid and comp (the smallest class of
+        the component) of every row; empty sets have no class."""
+        rows = "doc_id long, h long, n long, cid long, bucket long, c long"
+        hashed = self.docs.withColumn("h", text_hash())
+        measured = materialise(hashed.mapInArrow(_measure, rows), "shingle-counts")
+        self.rows = measured.where(F.col("n").isNotNull()).select("doc_id", "h", "n", "cid")
         self.levels = self._levels(measured.where(F.col("bucket").isNotNull()))
         lists = self._lists()
-        comp = self._components(lists)
-        return self._labelled(comp)
+        return self._with_components(self._components(lists))
 
     def _levels(self, counts: DataFrame) -> np.ndarray:
         total = counts.groupBy("bucket").agg(F.sum("c").alias("c")).toArrow()
@@ -468,14 +478,14 @@ class ShingleJoin:
                 break
         return comp
 
-    def _labelled(self, comp: DataFrame | None) -> DataFrame:
-        rows = self.rows
+    def _with_components(self, comp: DataFrame | None) -> DataFrame:
         if comp is None:
-            rows = rows.withColumn("comp", F.col("cid"))
-        else:
-            rows = rows.join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-                "comp", F.coalesce("comp", "cid")
-            )
+            return self.rows.withColumn("comp", F.col("cid"))
+        return self.rows.join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
+            "comp", F.coalesce("comp", "cid")
+        )
+
+    def _labelled(self, rows: DataFrame) -> DataFrame:
         least = rows.where(F.col("comp").isNotNull()).groupBy("comp").agg(F.min("doc_id").alias("low"))
         return rows.join(least, "comp", "left").select(
             "doc_id",
@@ -495,15 +505,23 @@ def query(spark, sf_dir):
 
 def stage(spark, docs, sf_dir):
     """Pipeline stage: one document of each component stays, that with the
-    smallest doc_id (rows that repeat it are one).  Documents without a
-    doc_id stay unless their component has one that has."""
+    smallest (doc_id, class, hash of the text), where no doc_id comes last.
+    Rows of one doc_id and text are one document.  The others are removed by
+    doc_id and hash, so that further texts of a doc_id, or without one, are
+    judged by themselves."""
     prepare(spark)
-    labelled = materialise(jaccard_join(docs), "components")
-    others = labelled.where(
-        F.col("component_id").isNotNull() & ~F.col("doc_id").eqNullSafe(F.col("component_id"))
-    ).select(id_or_null().alias("jj_gone"))
+    labelled = materialise(ShingleJoin(docs).classes(), "components")
+    rank = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "cid", "h")
+    ranked = labelled.where(F.col("comp").isNotNull()).select("doc_id", "h", "comp", rank.alias("rank"))
+    first = ranked.groupBy("comp").agg(F.min("rank").alias("first"))
+    others = (
+        ranked.join(first, "comp")
+        .where(~F.col("rank").eqNullSafe(F.col("first")))
+        .select(id_or_null().alias("jj_gone"), F.col("h").alias("jj_hash"))
+    )
     out = docs
-    if not labelled.groupBy("doc_id").count().where("count > 1").isEmpty():
+    if not labelled.groupBy("doc_id", "h").count().where("count > 1").isEmpty():
         out = docs.dropDuplicates(["doc_id", "text"])
     gone = materialise(others, "later-copies")
-    return out.join(gone.hint("merge"), id_or_null() == F.col("jj_gone"), "left_anti")
+    same = (id_or_null() == F.col("jj_gone")) & (text_hash() == F.col("jj_hash"))
+    return out.join(gone.hint("merge"), same, "left_anti")
