@@ -332,6 +332,39 @@ def test_training_order(spark, docs, monkeypatch):
     assert later == {s: x for s, x in back.items() if s >= 13}
 
 
+def with_other_cores(spark, monkeypatch, module, name, cores, later, after):
+    """The number of cores that scans are planned with changes when
+    ``module.name`` has run (or begins)."""
+    inner, key = getattr(module, name), "spark.sql.leafNodeDefaultParallelism"
+    for k, v in ((key, cores), ("spark.sql.files.openCostInBytes", "16b")):
+        spark.conf.set(k, v)
+
+    def changed(*args):
+        out = inner(*args) if after else None
+        spark.conf.set(key, later)
+        return out if after else inner(*args)
+
+    monkeypatch.setattr(module, name, changed)
+
+
+@pytest.fixture
+def cores_back(spark):
+    yield
+    for k in ("spark.sql.leafNodeDefaultParallelism", "spark.sql.files.openCostInBytes"):
+        spark.conf.unset(k)
+
+
+def test_training_order_with_cores_that_change(spark, monkeypatch, cores_back):
+    rows = [(i, f"text number {i} " * (i % 7)) for i in range(90)]
+    source, folder = scratch_path(spark, "source"), scratch_path(spark, "order")
+    frame(spark, rows).coalesce(1).write.option("parquet.block.row.count.limit", "10").parquet(source)
+    with_other_cores(spark, monkeypatch, training_order, "split_counts", 2, 7, after=True)
+    manifest = training_order.write_training_order(spark.read.parquet(source), folder).collect()
+    assert sorted(r["slot"] for r in manifest) == list(range(90))
+    assert sorted(r["doc_id"] for r in manifest) == list(range(90))
+    assert spark.conf.get("spark.sql.files.minPartitionNum", None) is None
+
+
 def test_training_order_empty(spark):
     source, folder = scratch_path(spark, "source"), scratch_path(spark, "order")
     frame(spark, []).write.parquet(source)

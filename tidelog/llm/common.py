@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import tempfile
 import zipfile
+from contextlib import contextmanager
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -57,6 +58,26 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def pinned_splits(spark: SparkSession):
+    """Scans planned within this block cut a file at the same places each.
+
+    Spark takes the size of splits from the cores that are registered when a
+    job is planned, unless the least number of partitions is set.
+    """
+    key = "spark.sql.files.minPartitionNum"
+    before = spark.conf.get(key, None)
+    cores = spark.conf.get("spark.sql.leafNodeDefaultParallelism", None)
+    spark.conf.set(key, before or cores or str(spark.sparkContext.defaultParallelism))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(key)
+        else:
+            spark.conf.set(key, before)
+
+
 def text_or_empty(col: str = "text") -> Column:
     return F.coalesce(F.col(col), F.lit(""))
 

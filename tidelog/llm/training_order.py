@@ -11,6 +11,11 @@ task writes its shards in slot order as files without headers: slot s is
 found at byte (s mod SHARD) * STRIDE * width of file s div SHARD, so reading
 is sequential and can go on at any slot.
 
+Both passes are planned with the same input splits (``pinned_splits``), as a
+place is told by the split and the number within it.  Each task checks that
+its shards' slots are dense, and the manifest is compared with the count, so
+that a sequence that one pass saw differently ends the run.
+
 A shard is written under a name of its own attempt and then renamed, so that
 a repeated task leaves a whole file.  The second pass encodes again, as the
 ids needn't be stored twice then.
@@ -32,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.bpe import codec, vocabulary_path
-from tidelog.llm.common import materialise, table
+from tidelog.llm.common import materialise, pinned_splits, table
 from tidelog.session import scratch_path
 
 STRIDE, END_ID, PAD_ID = 512, 50256, 0
@@ -133,7 +138,11 @@ def write_training_order(docs: DataFrame, folder: str, vocabulary: str | None =
     """Writes the shards below ``folder`` (a URI or path that all executors
     share) and returns the manifest: slot, shard, byte_offset, doc_id, part,
     n_ids.  ``docs`` is read from files."""
-    spark = docs.sparkSession
+    with pinned_splits(docs.sparkSession):
+        return _write_training_order(docs, folder, vocabulary)
+
+
+def _write_training_order(docs: DataFrame, folder: str, vocabulary: str | None) -> DataFrame:
     words = vocabulary or vocabulary_path()
     splits = split_counts(docs, words)
     total = splits.agg(F.sum("n")).first()[0] or 0
@@ -172,15 +181,18 @@ def write_training_order(docs: DataFrame, folder: str, vocabulary: str | None =
 
     def write(batches):
         files, root = _files(folder)
-        out, shard, name = None, None, None
+        out, shard, name, ahead = None, None, None, 0
 
         def close():
             if out is not None:
+                if ahead != min((shard + 1) * SHARD, total):
+                    raise RuntimeError(f"shard {shard} ends before slot {ahead}")
                 out.close()
                 files.move(name, f"{root}/shard-{shard:08d}.bin")
 
         for b in batches:
             shards = b.column("shard").to_numpy()
+            slots = b.column("slot").to_numpy()
             ids = b.column("ids").to_pylist()
             starts = np.flatnonzero(np.concatenate([[True], shards[1:] != shards[:-1]])) if len(ids) else []
             for i, to in zip(starts, [*starts[1:], len(ids)]):
@@ -189,6 +201,10 @@ def write_training_order(docs: DataFrame, folder: str, vocabulary: str | None =
                     shard = int(shards[i])
                     name = f"{root}/attempt-{uuid.uuid4().hex}"
                     out = files.open_output_stream(name)
+                    ahead = shard * SHARD
+                if not np.array_equal(slots[i:to], np.arange(ahead, ahead + to - i)):
+                    raise RuntimeError(f"slots of shard {shard} aren't dense from {ahead} on")
+                ahead += int(to - i)
                 out.write(b"".join(ids[i:to]))
             yield pa.RecordBatch.from_arrays(
                 [b.column(k) for k in ("slot", "shard", "byte_offset", "doc_id", "part", "n_ids")],
@@ -218,7 +234,10 @@ def write_training_order(docs: DataFrame, folder: str, vocabulary: str | None =
     written = dealt.mapInArrow(
         write, "slot long, shard long, byte_offset long, doc_id long, part long, n_ids long"
     )
-    return materialise(written, "manifest")
+    manifest = materialise(written, "manifest")
+    if (n := manifest.count()) != total:
+        raise RuntimeError(f"{n} sequences written, {total} counted")
+    return manifest
 
 
 def read_training_order(spark, folder: str, width: int, first_slot: int = 0) -> DataFrame:
