@@ -469,6 +469,15 @@ def test_archives(spark, split):
     assert by_key(got) == by_key(want)
 
 
+def test_archives_with_cores_that_change(spark, monkeypatch, cores_back):
+    rows = [(i, f"http://{i}", f"{i} {INNER}" * (i % 4 + 1)) for i in range(40)]
+    folder = scratch_path(spark, "warc")
+    warc_chain.write_warc(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), folder)
+    with_other_cores(spark, monkeypatch, warc_chain, "_put_together", 9, 2, after=False)
+    got = {r["page_id"]: r["payload_digest"] for r in warc_chain.read_warc(spark, folder).collect()}
+    assert got == {i: brute.sha1_base32(h.encode()) for i, _, h in rows}
+
+
 def test_empty_archives(spark):
     folder = scratch_path(spark, "warc")
     warc_chain.write_warc(spark.createDataFrame([], "page_id long, url string, html string"), folder)

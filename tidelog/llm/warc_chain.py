@@ -13,7 +13,8 @@ that would follow.  Within a split, chains are followed to the first offset
 outside; across splits, pointer jumping from the start of each file doubles
 the reach in every round.  Only candidates on a chain from the start are
 records.  Where a payload holds the magic, its chunks are fetched in a second
-scan and put together.
+scan with the same splits (``pinned_splits``) and put together; the run ends
+if they don't fill the record that the first scan saw.
 
 Defined cases: a null html is an empty payload; a null page_id is written as
 such and refers to the smallest known page_id of its payload, and is a
@@ -34,7 +35,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import materialise, table
+from tidelog.llm.common import materialise, pinned_splits, table
 from tidelog.session import scratch_path
 
 #: Fixed values of the format.
@@ -240,6 +241,11 @@ def _walk(rows: pd.DataFrame, starts: pd.DataFrame) -> pd.DataFrame:
 def read_warc(spark: SparkSession, folder: str) -> DataFrame:
     """page_id, payload_bytes, payload_digest, record_type, refers_to of every
     record that a chain from the start of its file reaches."""
+    with pinned_splits(spark):
+        return _read_warc(spark, folder)
+
+
+def _read_warc(spark: SparkSession, folder: str) -> DataFrame:
     every = materialise(candidates(spark, folder), "chunks")
     able = every.where((F.col("at") >= 0) & F.col("next").isNotNull())
     nodes = able.select("path", "block", "at", "next")
@@ -268,8 +274,12 @@ def _put_together(spark, folder, every, broken, on) -> DataFrame:
         Window.partitionBy("path").orderBy("at")
     )
     marked = files.join(on.withColumn("is_record", F.lit(True)), ["path", "at"], "left")
-    owned = marked.select("path", "block", "rel", "at", owner.alias("owner")).join(
-        broken.select("path", F.col("at").alias("owner")), ["path", "owner"], "left_semi"
+    ends = broken.select("path", F.col("at").alias("owner"), F.col("next").alias("end"))
+    owned = (
+        marked.select("path", "block", "rel", "at", owner.alias("owner"))
+        .join(ends, ["path", "owner"])
+        .where(F.col("at") < F.col("end"))
+        .drop("end")
     )
 
     def located(batches):
@@ -285,21 +295,31 @@ def _put_together(spark, folder, every, broken, on) -> DataFrame:
     )
 
     @F.udf("struct<n:long,digest:string>")
-    def facts_of(parts, header, size):
+    def facts_of(parts, at, header, size):
+        stop = at + len(MAGIC) + header + size + len(END)
+        reached = at
+        for p in parts or ():
+            if p["at"] != reached:
+                break
+            reached += len(MAGIC) + len(p["chunk"])
+        if reached != stop:
+            raise ValueError(f"record at {at}: chunks reach {reached}, the header states {stop}")
         raw = MAGIC.encode().join(bytes(p["chunk"]) for p in parts)
         return payload_facts(raw[header : header + size])
 
     size = F.col("next") - F.col("at") - len(MAGIC) - F.col("header_size") - len(END)
     found = broken.join(
-        pieces.withColumnRenamed("owner", "at"), ["path", "at"]
-    ).withColumn("facts", facts_of("parts", "header_size", size))
-    return found.select(
+        pieces.withColumnRenamed("owner", "at"), ["path", "at"], "left"
+    ).withColumn("facts", facts_of("parts", "at", "header_size", size))
+    found = found.select(
         "page_id",
         F.col("facts.n").alias("payload_bytes"),
         F.col("facts.digest").alias("payload_digest"),
         F.col("type").alias("record_type"),
         "refers_to",
     )
+    # read here, while the splits are pinned
+    return materialise(found, "put-together")
 
 
 def query(spark, sf_dir):
