@@ -52,10 +52,21 @@ def materialise(df: DataFrame, label: str) -> DataFrame:
     This cuts the lineage: after a lost executor Spark goes back to the
     written files, not to the input.  It also gives the planner a true size.
     """
+    return written(df, label)[0]
+
+
+def written(df: DataFrame, label: str) -> tuple[DataFrame, str]:
+    """As ``materialise``, with the folder."""
     spark = df.sparkSession
     path = scratch_path(spark, label)
     df.write.option("compression", "zstd").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return spark.read.schema(df.schema).parquet(path), path
+
+
+def discard(spark: SparkSession, path: str) -> None:
+    """Deletes a folder of ``written`` that nothing reads any more."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
 
 
 @contextmanager

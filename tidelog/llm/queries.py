@@ -8,9 +8,11 @@ from tidelog.llm import (
     bpe_tree,
     hilbert_pack,
     host_quality,
+    integer_kmeans,
     jaccard_join,
     license_digest,
     line_runs,
+    merkle_manifest,
     suffix_dedup,
     training_order,
     warc_chain,
@@ -29,6 +31,8 @@ def queries() -> dict:
         "op8_line_runs": line_runs.query,
         "op9_jaccard_join": jaccard_join.query,
         "op10_suffix_dedup": suffix_dedup.query,
+        "op11_merkle_manifest": merkle_manifest.query,
+        "op12_integer_kmeans": integer_kmeans.query,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -38,4 +42,6 @@ def oracle_sql() -> dict[str, str]:
         "op5_license_digest": license_digest.oracle_sql(),
         "op6_host_quality": host_quality.ORACLE_SQL,
         "op8_line_runs": line_runs.ORACLE_SQL,
+        "op11_merkle_manifest": merkle_manifest.oracle_sql(),
+        "op12_integer_kmeans": integer_kmeans.oracle_sql(),
     }
