@@ -13,6 +13,7 @@ from tidelog.llm import (
     license_digest,
     line_runs,
     merkle_manifest,
+    secret_lexing,
     suffix_dedup,
     training_order,
     warc_chain,
@@ -33,6 +34,7 @@ def queries() -> dict:
         "op10_suffix_dedup": suffix_dedup.query,
         "op11_merkle_manifest": merkle_manifest.query,
         "op12_integer_kmeans": integer_kmeans.query,
+        "op13_secret_lexing": secret_lexing.query,
         "pipeline": corpus_pipeline.run,
     }
 
