@@ -212,18 +212,22 @@ def roots(levels: list[DataFrame]) -> DataFrame:
     return out
 
 
-def ways_up(levels: list[DataFrame], tops: DataFrame) -> DataFrame:
+def ways_up(levels: list[DataFrame], tops: DataFrame | None = None) -> DataFrame:
     """Every node of the first level with what ``tops`` (g, way, ...) says of
-    its group, the way extended down to the node.
+    its group, the way extended down to the node.  Without ``tops`` the ways
+    begin at the groups' roots.
 
     A way is an array, from the node up, of what stands left (l) and right
     (r) of the node, or of its ancestor, within the run.
     """
-    extra = [c for c in tops.columns if c not in ("g", "way")]
+    extra = [c for c in tops.columns if c not in ("g", "way")] if tops is not None else []
+    start = F.expr("cast(array() as array<struct<l:string,r:string>>)")
     below = None
     for number in reversed(range(len(levels))):
         level = levels[number]
-        done = level.where(FINISHED).join(tops, "g").select(
+        done = level.where(FINISHED)
+        done = done.withColumn("way", start) if tops is None else done.join(tops, "g")
+        done = done.select(
             "g", F.lit(0).cast("long").alias("at"), F.get("slots", F.lit(0)).alias("slot"), "way", *extra
         )
         if below is None:
@@ -255,8 +259,7 @@ def merkle_manifest(docs: DataFrame) -> DataFrame:
     subroots = in_order(materialise(roots(levels), "subroots"), "g")
     top = reduce_levels(subroots.select(F.lit("").alias("g"), "at", "digest", F.col("g").alias("of")), "of")
     root = roots(top).first()["digest"]
-    whole = spark.range(1).select(F.lit("").alias("g"), F.expr("cast(array() as array<struct<l:string,r:string>>)").alias("way"))
-    tops = ways_up(top, whole).select(
+    tops = ways_up(top).select(
         F.col("slot.of").alias("g"), "way", F.col("slot.digest").alias("subroot")
     )
     rows = ways_up(levels, tops).select("slot.*", "way", "subroot").withColumnRenamed("digest", "leaf")
