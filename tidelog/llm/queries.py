@@ -41,6 +41,7 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     return {
+        "op2_warc_chain": warc_chain.oracle_sql(),
         "op5_license_digest": license_digest.oracle_sql(),
         "op6_host_quality": host_quality.ORACLE_SQL,
         "op8_line_runs": line_runs.ORACLE_SQL,

@@ -12,7 +12,10 @@ every chunk its offset, and emits candidates with the offset of the record
 that would follow.  Within a split, chains are followed to the first offset
 outside; across splits, pointer jumping from the start of each file doubles
 the reach in every round.  Only candidates on a chain from the start are
-records.  Where a payload holds the magic, its chunks are fetched in a second
+records, and the run ends with an error unless the chain of every file ends
+exactly at the file's end, so that no record is lost without a word.  A
+header that holds the magic is read over the chunks of its split (the writer
+writes the magic of a url as ``WARC%2F1.``).  Where a payload holds the magic, its chunks are fetched in a second
 scan with the same splits (``pinned_splits``) and put together; the run ends
 if they don't fill the record that the first scan saw.
 
@@ -20,7 +23,8 @@ Defined cases: a null html is an empty payload; a null page_id is written as
 such and refers to the smallest known page_id of its payload, and is a
 response where there is none; equal rows are written as often as they occur
 (those with the smallest page_id are responses); line ends in a url are
-written as blanks; an empty table gives no record.  Only page_id, url and
+written as blanks; an empty table gives no record; a file that is cut off or
+that doesn't begin with a record is an error.  Only page_id, url and
 html are read.
 """
 
@@ -40,8 +44,12 @@ from tidelog.session import scratch_path
 
 #: Fixed values of the format.
 MAGIC, END = "WARC/1.", "\r\n\r\n"
+ESCAPED_MAGIC = "WARC%2F1."
 HEX_DIGITS, BASE32_DIGITS = "0123456789ABCDEFGHIJKLMNOPQRSTUV", "ABCDEFGHIJKLMNOPQRSTUVWXYZ234567"
 
+#: A chunk that may be the beginning of a header which goes on behind another magic.
+OPEN_HEADER = re.compile(rb"[01]\r\n(?:[A-Za-z-]+: [^\r\n]*\r\n)*[A-Za-z-]+: [^\r\n]*\Z")
+
 #: Equal payloads of at least so many bytes become revisits.
 MIN_REVISIT = 0
 
@@ -101,6 +109,7 @@ def write_warc(pages: DataFrame, folder: str) -> None:
     urn = lambda c: F.concat(F.lit("<urn:page:"), F.coalesce(c.cast("string"), F.lit("null")), F.lit(">"))
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit("\r\n"))
     url = F.regexp_replace(F.coalesce("url", F.lit("")), "[\r\n]+", " ")
+    url = F.replace(url, F.lit(MAGIC), F.lit(ESCAPED_MAGIC))
     record = F.concat(
         F.lit(f"{MAGIC}1\r\n"),
         line("WARC-Type", F.when(revisit, "revisit").otherwise("response")),
@@ -137,14 +146,35 @@ def _located(batches):
             yield path, block, rel, chunk
 
 
+def _with_headers(items):
+    """Chunks of splits, each with those that its header goes on in."""
+    waiting: list[tuple] = []
+    for path, block, rel, chunk in items:
+        if waiting and waiting[0][:2] != (path, block):
+            yield from waiting
+            waiting = []
+        for w in waiting:
+            w[4].append(chunk)
+        closed = END.encode() in chunk
+        if closed:
+            yield from waiting
+            waiting = []
+        if not closed and OPEN_HEADER.match(chunk):
+            waiting.append((path, block, rel, chunk, []))
+        else:
+            yield path, block, rel, chunk, []
+    yield from waiting
+
+
 def _urn(text: str | None) -> int | None:
     m = re.fullmatch(r"<urn:page:(-?\d+)>", text or "")
     return int(m[1]) if m else None
 
 
-def parse_candidate(path, block, rel, chunk: bytes) -> tuple:
-    """The candidate record that a chunk begins, if its header can be read."""
-    head, end, _ = chunk.partition(END.encode())
+def parse_candidate(path, block, rel, chunk: bytes, more=()) -> tuple:
+    """The candidate record that a chunk begins, if its header can be read;
+    ``more``: the chunks in which the header goes on."""
+    head, end, _ = MAGIC.encode().join([chunk, *more]).partition(END.encode())
     lines = head.decode("utf-8", "replace").split("\r\n")
     fields = dict(x.split(": ", 1) for x in lines[1:] if ": " in x)
     length = fields.get("Content-Length", "")
@@ -153,7 +183,7 @@ def parse_candidate(path, block, rel, chunk: bytes) -> tuple:
     header = len(head) + len(END)
     stop = header + int(length)
     kind = fields.get("WARC-Type")
-    whole = stop + len(END) == len(chunk)
+    whole = not more and stop + len(END) == len(chunk)
     n = digest = None
     if kind == "revisit":
         n, digest = int(fields.get("X-Payload-Length", 0)), fields.get("WARC-Payload-Digest", "")[5:]
@@ -175,7 +205,7 @@ def candidates(spark: SparkSession, folder: str) -> DataFrame:
         rows = []
         kinds = [pa.string(), *[pa.int64()] * 5, pa.string(), *[pa.int64()] * 3, pa.string(), pa.bool_()]
         names = [x.split()[0] for x in CANDIDATE.split(", ")]
-        for item in _located(batches):
+        for item in _with_headers(_located(batches)):
             rows.append(parse_candidate(*item))
             if len(rows) == 2000:
                 yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(zip(*rows), kinds)], names)
@@ -259,6 +289,7 @@ def _read_warc(spark: SparkSession, folder: str) -> DataFrame:
     )
     on = materialise(on.select("path", "at"), "records")
     records = able.join(on.hint("merge"), ["path", "at"])
+    check_ends(every, records)
     ready = records.where(F.col("whole") | (F.col("type") == "revisit"))
     facts = ["page_id", "payload_bytes", "payload_digest", F.col("type").alias("record_type"), "refers_to"]
     broken = records.where(~F.col("whole") & (F.col("type") != "revisit"))
@@ -267,6 +298,15 @@ def _read_warc(spark: SparkSession, folder: str) -> DataFrame:
     return ready.select(*facts).unionByName(_put_together(spark, folder, every, broken, on))
 
 
+def check_ends(every: DataFrame, records: DataFrame) -> None:
+    """Raises unless the chain of every file ends at the file's end."""
+    sizes = every.groupBy("path").agg((F.sum(F.col("size") + len(MAGIC)) - len(MAGIC)).alias("bytes"))
+    ends = records.groupBy("path").agg(F.max("next").alias("end"))
+    short = sizes.join(ends, "path", "left").where(~F.col("end").eqNullSafe(F.col("bytes"))).first()
+    if short:
+        raise ValueError(f"{short['path']}: records end at byte {short['end']} of {short['bytes']}")
+
+
 def _put_together(spark, folder, every, broken, on) -> DataFrame:
     """Records whose payload holds the magic, from all of their chunks."""
     files = every.join(broken.select("path").distinct(), "path", "left_semi")
@@ -324,5 +364,27 @@ def _put_together(spark, folder, every, broken, on) -> DataFrame:
 
 def query(spark, sf_dir):
     folder = scratch_path(spark, "warc")
-    write_warc(table(spark, sf_dir, "pages"), folder)
-    return read_warc(spark, folder)
+    pages = table(spark, sf_dir, "pages")
+    write_warc(pages, folder)
+    found = materialise(read_warc(spark, folder), "warc-records")
+    n, m = pages.count(), found.count()
+    if n != m:
+        raise RuntimeError(f"{m} records read of {n} written")
+    return found
+
+
+def oracle_sql() -> str:
+    digits = " || ".join(
+        f"substr('{BASE32_DIGITS}', 1 + ((('0x' || substr(h, {5 * i + 1}, 5))::INTEGER >> {15 - 5 * j}) & 31), 1)"
+        for i in range(8)
+        for j in range(4)
+    )
+    return f"""
+WITH d AS (
+  SELECT page_id, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS h FROM pages
+), f AS (SELECT *, min(page_id) OVER (PARTITION BY h) AS first FROM d)
+SELECT page_id, CAST(n AS BIGINT) AS payload_bytes, {digits} AS payload_digest,
+       CASE WHEN n >= {MIN_REVISIT} AND page_id <> first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN n >= {MIN_REVISIT} AND page_id <> first THEN first END AS refers_to
+FROM f
+"""
