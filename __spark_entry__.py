@@ -69,6 +69,7 @@ from tidelog.plans.reports import (
     with_year_week,
     write_reports,
 )
+from tidelog.plans.state import count_state, trailing_top_k
 from tidelog.session import configure_session, scratch_path
 from tidelog.sources.event_logs import lines_from_events, read_events, write_lines
 from tidelog.sources.tables import (
@@ -85,6 +86,7 @@ from tidelog.sources.tables import (
 FLAGSHIP_SF = "/root/testdata/sf0.001"
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 K = 5
+TRAILING_DAYS = 7
 
 # ---------------------------------------------------------------- helpers
 
@@ -459,6 +461,40 @@ def q_full_run(spark, sf):
     return union_reports(read_reports(spark, cfg))
 
 
+def _day_lines(spark, sf, label, last_day_only: bool) -> str:
+    """Log files of the events' last day, or of all days before it and the
+    malformed lines."""
+    events = _events(spark, sf)
+    last = events.agg(F.max(F.to_date("ts"))).first()[0]
+    late = (F.to_date("ts") == F.lit(last)) & (F.col("event_id") % 97 != 0)
+    path = scratch_path(spark, label)
+    write_lines(lines_from_events(events.filter(late if last_day_only else ~late), keep_id=False), path)
+    return path
+
+
+def q_report_state(spark, sf):
+    return count_state(_enriched(spark, sf))
+
+
+def q_incremental_reports(spark, sf):
+    """All days but the last, then the last one: its rows and stored counts
+    give the reports of its week."""
+    from tidelog.plans.jobs import run_all
+
+    db = _scratch_db(spark, "increment")
+    for last_day_only in (False, True):
+        lines = _day_lines(spark, sf, f"increment-{last_day_only}", last_day_only)
+        cfg = LogConfig(input_paths=[lines], database=db)
+        run_all(spark, cfg)
+    return union_reports(read_reports(spark, cfg))
+
+
+def q_trailing_top_ips(spark, sf):
+    state = count_state(_enriched(spark, sf)).filter(F.col("report_key") == "ip")
+    counts = state.select("process_date", F.col("key").alias("ip"), "request_count")
+    return trailing_top_k(counts, "ip", TRAILING_DAYS, K)
+
+
 def q_ingest_stream(spark, sf):
     from tidelog.streaming.ingest import read_ingested, run_ingest_stream
 
@@ -569,6 +605,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "ingest_job": q_ingest_job,
             "transform_job": q_transform_job,
             "full_run": q_full_run,
+            "report_state": q_report_state,
+            "incremental_reports": q_incremental_reports,
+            "trailing_top_ips": q_trailing_top_ips,
             "ingest_stream": q_ingest_stream,
             # layout- or catalog-dependent: rows-only checks
             "partition_counts": q_partition_counts,
@@ -787,6 +826,22 @@ def oracle_sql() -> dict[str, str]:
             "count_logs": count_sql,
             "count_records": count_sql,
             "estimate_rows": "SELECT COUNT(*) AS estimated_rows FROM events",
+            "report_state": _with_e(
+                "SELECT 'ip' AS report_key, process_date, ip AS key, COUNT(*) AS request_count "
+                "FROM e GROUP BY ALL UNION ALL "
+                "SELECT 'device_type', process_date, device_type, COUNT(*) FROM e GROUP BY ALL"
+            ),
+            "incremental_reports": _union_reports_sql(),
+            "trailing_top_ips": _with_e(
+                _top_sql(
+                    "process_date",
+                    "ip",
+                    "SELECT d.process_date, e.ip, COUNT(*) AS request_count FROM "
+                    "(SELECT DISTINCT process_date FROM e WHERE process_date IS NOT NULL) d "
+                    "JOIN e ON CAST(e.process_date AS DATE) BETWEEN CAST(d.process_date AS DATE) - "
+                    f"{TRAILING_DAYS - 1} AND CAST(d.process_date AS DATE) GROUP BY 1, 2",
+                )
+            ),
             "limit_preview": _with_e(
                 "SELECT event_id, ip, method, endpoint, status, device_type FROM e "
                 "ORDER BY event_id LIMIT 20"

@@ -21,6 +21,10 @@ class LogConfig:
     database_location: str | None = None
     raw_table: str = "raw_logs"
     processed_table: str = "processed_logs"
+    # counts per (day, key) that reports are built from (see plans.state);
+    # ``report_state=False`` recounts the processed rows of whole weeks
+    state_table: str = "daily_counts"
+    report_state: bool = True
     table_format: str = "parquet"
     # file codec, stored as a table property at creation so every later
     # insert uses it; None keeps the session default
@@ -61,5 +65,9 @@ class LogConfig:
     def processed_table_name(self) -> str:
         return self.qualified(self.processed_table)
 
+    @property
+    def state_table_name(self) -> str:
+        return self.qualified(self.state_table)
+
     def report_table_name(self, report: str) -> str:
         return self.qualified(report)

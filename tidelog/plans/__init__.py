@@ -1,16 +1,8 @@
 """Job plans: ingest, transform, reports, full run, ad-hoc SQL."""
 
 from tidelog.plans.adhoc import adhoc, job_views
-from tidelog.plans.jobs import (
-    JobResult,
-    backfill,
-    day_filter,
-    ingest,
-    report,
-    run_all,
-    transform,
-    week_filter,
-)
+from tidelog.plans.days import day_filter, week_filter
+from tidelog.plans.jobs import JobResult, backfill, ingest, report, run_all, transform
 from tidelog.plans.reports import (
     REPORTS,
     build_reports,
@@ -21,6 +13,17 @@ from tidelog.plans.reports import (
     weekly_report,
     write_reports,
 )
+from tidelog.plans.state import (
+    count_state,
+    merge_state,
+    period_top_k,
+    read_state,
+    refresh_state,
+    state_drift,
+    state_reports,
+    top_k_between,
+    trailing_top_k,
+)
 
 __all__ = [
     "REPORTS",
@@ -41,4 +44,13 @@ __all__ = [
     "union_reports",
     "weekly_report",
     "write_reports",
+    "count_state",
+    "merge_state",
+    "period_top_k",
+    "read_state",
+    "refresh_state",
+    "state_drift",
+    "state_reports",
+    "top_k_between",
+    "trailing_top_k",
 ]

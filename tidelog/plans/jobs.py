@@ -16,17 +16,18 @@ from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from tidelog.config import LogConfig
 from tidelog.functions.device import register_device_function
 from tidelog.functions.parse import parse_logs
-from tidelog.functions.periods import year_week_of_day
 from tidelog.operators.enrich import enrich_logs
 from tidelog.operators.layout import apply_layout
 from tidelog.operators.metrics import MetricsRecorder, write_metrics_json
+from tidelog.plans.days import day_filter, week_filter
 from tidelog.plans.reports import build_reports, write_reports
+from tidelog.plans.state import refresh_state, state_reports
 from tidelog.session import configure_session
 from tidelog.sources.tables import create_database, read_table, write_partitioned
 from tidelog.sources.text import read_log_lines
@@ -57,35 +58,6 @@ def _observed(
     return df.observe(obs, *metrics), obs
 
 
-def day_filter(days: list[str] | None, include_null: bool = True) -> Column | None:
-    """Partition filter selecting ``days`` (and the NULL day of malformed
-    lines); None selects everything."""
-    if days is None:
-        return None
-    cond = F.col("process_date").isin(list(days)) if days else F.lit(False)
-    if include_null:
-        cond = cond | F.col("process_date").isNull()
-    return cond
-
-
-def week_filter(
-    spark: SparkSession, days: list[str] | None, mode: str, include_null: bool = True
-) -> Column | None:
-    """Partition filter selecting every day of the year-weeks containing
-    ``days`` (a weekly count needs all of its days)."""
-    if days is None:
-        return None
-    labels = []
-    if days:
-        probe = spark.createDataFrame([(d,) for d in days], "d string")
-        week = year_week_of_day("d", mode)
-        labels = [r[0] for r in probe.select(week).distinct().collect() if r[0] is not None]
-    cond = year_week_of_day("process_date", mode).isin(labels) if labels else F.lit(False)
-    if include_null:
-        cond = cond | F.col("process_date").isNull()
-    return cond
-
-
 def _layout(df: DataFrame, cfg: LogConfig) -> DataFrame:
     return apply_layout(
         df,
@@ -187,8 +159,14 @@ def report(
 
     With ``days``, only the daily reports of those days and the weekly
     reports of the weeks containing them are recomputed and overwritten.
+    Reports come from the stored counts (``plans.state``): the processed rows
+    of ``days`` are counted, the other days of their weeks are not read.
     """
     configure_session(spark, cfg.time_zone)
+    if cfg.report_state:
+        state = refresh_state(spark, cfg, days, include_null)
+        tables = write_reports(spark, state_reports(spark, cfg, days, include_null), cfg)
+        return JobResult(tables=tables | {"state": state})
     logs = read_table(spark, cfg.processed_table_name).select(
         "process_date", "ip", "device_type"
     )

@@ -110,16 +110,19 @@ def replace_table(
     partition_cols: Sequence[str] = (),
     fmt: str = "parquet",
     cluster: bool = True,
+    options: dict[str, str] | None = None,
 ) -> str:
-    """Replaces the table's contents and schema; old partitions are gone."""
+    """Replaces the table's contents and schema; old partitions are gone.
+    ``options`` become properties of the new table."""
     data = clustered(df, partition_cols) if cluster else df
+    options = options or {}
     if fmt in V1_FORMATS:
-        writer = data.write.format(fmt).mode("overwrite")
+        writer = data.write.format(fmt).options(**options).mode("overwrite")
         if partition_cols:
             writer = writer.partitionBy(*partition_cols)
         writer.saveAsTable(name)
     else:
-        writer = data.writeTo(name).using(fmt)
+        writer = data.writeTo(name).using(fmt).options(**options)
         if partition_cols:
             writer = writer.partitionedBy(*[F.col(c) for c in partition_cols])
         writer.createOrReplace()
