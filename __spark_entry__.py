@@ -44,8 +44,22 @@ from tidelog.functions.parse import (
     parse_logs,
     safe_int,
 )
-from tidelog.functions.periods import day_bucket, hour_bucket, week_bucket, year_week
+from tidelog.functions.periods import (
+    day_bucket,
+    hour_bucket,
+    week_bucket,
+    year_week,
+    year_week_of_day,
+)
 from tidelog.operators.enrich import enrich_logs
+from tidelog.operators.hitters import (
+    TRACKED,
+    error_share,
+    frequent_keys,
+    heavy_hitters,
+    key_sketch,
+    merge_sketches,
+)
 from tidelog.operators.layout import apply_layout, count_rows, estimate_rows
 from tidelog.operators.metrics import (
     events_as_metrics,
@@ -54,6 +68,7 @@ from tidelog.operators.metrics import (
     read_metrics_json,
     write_metrics_json,
 )
+from tidelog.operators.placement import place, place_balanced, placement_counts
 from tidelog.operators.render import preview, read_csv, read_json, write_csv, write_json
 from tidelog.operators.skew import key_skew, partition_counts, partition_extremes, partition_skew
 from tidelog.operators.topk import count_by, rank_counts, sort_report, top_k_per_group
@@ -72,6 +87,7 @@ from tidelog.plans.reports import (
 from tidelog.plans.state import count_state, trailing_top_k
 from tidelog.session import configure_session, scratch_path
 from tidelog.sources.event_logs import lines_from_events, read_events, write_lines
+from tidelog.sources.footers import footer_range, table_row_counts
 from tidelog.sources.tables import (
     create_database,
     create_table,
@@ -87,6 +103,9 @@ FLAGSHIP_SF = "/root/testdata/sf0.001"
 TS_TEXT = "yyyy-MM-dd HH:mm:ss"
 K = 5
 TRAILING_DAYS = 7
+PLACES = 16
+HOT_SHARE = 0.0065
+LOOKED_UP = "10.0.0.7"
 
 # ---------------------------------------------------------------- helpers
 
@@ -335,6 +354,15 @@ def q_adhoc_sql(spark, sf):
     return adhoc(spark, ADHOC_SQL, views={"events": _events(spark, sf)})
 
 
+def q_adhoc_params(spark, sf):
+    sql = (
+        "SELECT event_id, user_id, :label AS label FROM events "
+        "WHERE event_type = :kind AND value >= :least"
+    )
+    args = {"kind": "purchase", "least": 10.5, "label": "it's"}
+    return adhoc(spark, sql, views={"events": _events(spark, sf)}, args=args)
+
+
 REPORT_SCHEMA = T.StructType(
     [
         T.StructField("process_date", T.StringType()),
@@ -378,16 +406,64 @@ def q_metrics_json_roundtrip(spark, sf):
     )
 
 
+def _placed_by_hour(spark, sf):
+    """Logs in PLACES partitions by hour of day: physical counts are known."""
+    return place(_logs(spark, sf), PLACES, F.col("hour").cast("int"))
+
+
 def q_partition_counts(spark, sf):
-    return partition_counts(_logs(spark, sf))
+    return partition_counts(_placed_by_hour(spark, sf))
 
 
 def q_partition_skew(spark, sf):
-    return partition_skew(_logs(spark, sf))
+    return partition_skew(_placed_by_hour(spark, sf))
 
 
 def q_partition_extremes(spark, sf):
-    return partition_extremes(_logs(spark, sf))
+    return partition_extremes(_placed_by_hour(spark, sf))
+
+
+def q_placement_counts(spark, sf):
+    return placement_counts(_logs(spark, sf), PLACES, F.col("hour").cast("int"))
+
+
+def q_balanced_placement(spark, sf):
+    """Two methods hold nearly all rows; split over 8 partitions they don't skew."""
+    placed = place_balanced(_logs(spark, sf), "method", 8)
+    return partition_skew(placed).select("n_partitions", "is_skewed")
+
+
+def q_heavy_hitters(spark, sf):
+    return heavy_hitters(_logs(spark, sf), "ip", HOT_SHARE)
+
+
+def q_weekly_key_sketch(spark, sf):
+    """Sketches of each day, merged to weeks."""
+    daily = key_sketch(_enriched(spark, sf), "device_type", "process_date")
+    weekly = merge_sketches(
+        daily.withColumn("year_week", year_week_of_day("process_date")), "year_week"
+    )
+    return frequent_keys(weekly, "device_type", "year_week")
+
+
+def q_footer_counts(spark, sf):
+    db = _scratch_db(spark, "footers")
+    name = f"{db}.raw_logs"
+    create_table(_logs(spark, sf), name, ["process_date", "hour"])
+    return table_row_counts(spark, name, ["process_date"])
+
+
+def q_footer_range(spark, sf):
+    _setup(spark)
+    return footer_range(spark, f"{sf}/orders.parquet", "o_orderkey")
+
+
+def q_bloom_lookup(spark, sf):
+    db = _scratch_db(spark, "bloom")
+    cfg = LogConfig(database=db, bloom_columns=("ip",))
+    name = cfg.raw_table_name
+    create_table(_logs(spark, sf), name, ["process_date"], options=cfg.log_table_options)
+    return _raw_out(read_table(spark, name).filter(F.col("ip") == LOOKED_UP))
 
 
 def q_layout_preserves_rows(spark, sf):
@@ -508,20 +584,29 @@ def q_ingest_stream(spark, sf):
 def q_list_tables(spark, sf):
     db = _scratch_db(spark, "list")
     create_table(_logs(spark, sf), f"{db}.raw_logs", ["process_date", "hour"])
-    return list_tables(spark, db)
+    # temporary views are listed with every database
+    return list_tables(spark, db).filter(~F.col("isTemporary")).select("tableName", "isTemporary")
 
 
 def q_list_databases(spark, sf):
     db = _scratch_db(spark, "dbs")
     create_table(_logs(spark, sf).select("event_id", "process_date"), f"{db}.ids", ["process_date"])
-    return list_databases(spark, current=db)
+    # the other databases are those of whoever runs the query
+    return (
+        list_databases(spark, current=db)
+        .filter(F.col("database") == db)
+        .select(F.regexp_extract("database", "^tidelog_([a-z]+)_", 1).alias("kind"), "is_current")
+    )
 
 
 def q_describe_table(spark, sf):
     db = _scratch_db(spark, "describe")
     name = f"{db}.raw_logs"
     create_table(_logs(spark, sf), name, ["process_date", "hour"])
-    return describe_table(spark, name)
+    # columns and table kind; paths, times and versions vary
+    columns = [f.name for f in _logs(spark, sf).schema]
+    stable = F.col("col_name").isin(*columns, "Type", "Provider")
+    return describe_table(spark, name).filter(stable).select("col_name", "data_type").distinct()
 
 
 _FIELD_FNS = {
@@ -608,6 +693,14 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "report_state": q_report_state,
             "incremental_reports": q_incremental_reports,
             "trailing_top_ips": q_trailing_top_ips,
+            "placement_counts": q_placement_counts,
+            "balanced_placement": q_balanced_placement,
+            "heavy_hitters": q_heavy_hitters,
+            "weekly_key_sketch": q_weekly_key_sketch,
+            "footer_counts": q_footer_counts,
+            "footer_range": q_footer_range,
+            "bloom_lookup": q_bloom_lookup,
+            "adhoc_params": q_adhoc_params,
             "ingest_stream": q_ingest_stream,
             # layout- or catalog-dependent: rows-only checks
             "partition_counts": q_partition_counts,
@@ -727,6 +820,14 @@ def _metrics_src() -> str:
     )
 
 
+# rows per partition of logs placed by hour of day
+_PLACED_SQL = (
+    "SELECT CAST(i AS INTEGER) AS partition_id, CAST(COUNT(p) AS BIGINT) AS count "
+    f"FROM range({PLACES}) r(i) LEFT JOIN "
+    f"(SELECT COALESCE(CAST(hour AS INTEGER), 0) % {PLACES} AS p FROM e) x ON p = i GROUP BY i"
+)
+
+
 def _union_reports_sql() -> str:
     parts = []
     for name, (period, key) in REPORTS.items():
@@ -832,6 +933,64 @@ def oracle_sql() -> dict[str, str]:
                 "SELECT 'device_type', process_date, device_type, COUNT(*) FROM e GROUP BY ALL"
             ),
             "incremental_reports": _union_reports_sql(),
+            "partition_counts": _with_e(_PLACED_SQL),
+            "placement_counts": _with_e(_PLACED_SQL),
+            "partition_skew": _with_e(
+                "SELECT * EXCLUDE (a), ROUND(max_rows / a, 6) AS skew_ratio, "
+                "max_rows / a > 3 AS is_skewed "
+                "FROM (SELECT COUNT(*) AS n_partitions, MAX(count) AS max_rows, "
+                "MIN(count) AS min_rows, ROUND(AVG(count), 6) AS avg_rows, AVG(count) AS a "
+                f"FROM ({_PLACED_SQL}) p) s"
+            ),
+            "partition_extremes": _with_e(
+                "SELECT side, partition_id, count, ROUND(count / a, 6) AS ratio_to_avg FROM ("
+                "SELECT *, AVG(count) OVER () AS a, "
+                "ROW_NUMBER() OVER (ORDER BY count DESC, partition_id) AS most, "
+                "ROW_NUMBER() OVER (ORDER BY count, partition_id) AS least "
+                f"FROM ({_PLACED_SQL}) p) s JOIN (VALUES ('most'), ('least')) v(side) "
+                "ON CASE side WHEN 'most' THEN most ELSE least END <= 5"
+            ),
+            "balanced_placement": (
+                "SELECT CAST(8 AS BIGINT) AS n_partitions, COUNT(*) < 0 AS is_skewed FROM events"
+            ),
+            "heavy_hitters": _with_e(
+                'SELECT ip, n AS "rows", ROUND(n / t, 6) AS share FROM ('
+                "SELECT ip, COUNT(*) AS n, SUM(COUNT(*)) OVER () AS t FROM e GROUP BY ip) c "
+                f"WHERE n / t > {HOT_SHARE}"
+            ),
+            "weekly_key_sketch": _with_e(
+                "SELECT year_week, device_type, "
+                f"GREATEST(n - CAST(FLOOR(t * {error_share(TRACKED)}) AS BIGINT), 1) AS at_least, "
+                'n AS at_most, CAST(t AS BIGINT) AS "rows" FROM (SELECT year_week, device_type, '
+                "COUNT(*) AS n, SUM(COUNT(*)) OVER (PARTITION BY year_week) AS t "
+                "FROM e GROUP BY year_week, device_type) c"
+            ),
+            "footer_counts": _with_e(
+                'SELECT process_date, COUNT(*) AS "rows" FROM e GROUP BY process_date'
+            ),
+            "footer_range": (
+                'SELECT COUNT(*) AS "rows", COUNT(o_orderkey) AS n_values, '
+                "MIN(o_orderkey) AS least, MAX(o_orderkey) AS greatest FROM orders"
+            ),
+            "bloom_lookup": _with_e(
+                f"SELECT event_id, {_RAW_SELECT} FROM e WHERE ip = '{LOOKED_UP}'"
+            ),
+            "adhoc_params": (
+                "SELECT event_id, user_id, 'it''s' AS label FROM events "
+                "WHERE event_type = 'purchase' AND value >= 10.5"
+            ),
+            "list_tables": (
+                "SELECT 'raw_logs' AS \"tableName\", COUNT(*) < 0 AS \"isTemporary\" FROM events"
+            ),
+            "list_databases": "SELECT 'dbs' AS kind, COUNT(*) >= 0 AS is_current FROM events",
+            "describe_table": (
+                "SELECT * FROM (VALUES ('event_id', 'bigint'), ('ip', 'string'), "
+                "('timestamp_str', 'string'), ('method', 'string'), ('endpoint', 'string'), "
+                "('protocol', 'string'), ('status', 'int'), ('bytes', 'int'), "
+                "('user_agent', 'string'), ('timestamp', 'timestamp'), ('process_date', 'string'), "
+                "('hour', 'string'), ('Type', 'MANAGED'), ('Provider', 'parquet')) "
+                "t(col_name, data_type)"
+            ),
             "trailing_top_ips": _with_e(
                 _top_sql(
                     "process_date",

@@ -9,14 +9,7 @@ import pytest
 import __spark_entry__ as entry
 from tests.conftest import SF001
 
-ROWS_ONLY = {
-    "partition_counts",
-    "partition_skew",
-    "partition_extremes",
-    "list_tables",
-    "list_databases",
-    "describe_table",
-}
+ROWS_ONLY: set[str] = set()
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"

@@ -48,12 +48,26 @@ class LogConfig:
     # min/max statistics then let filters on them skip row groups, and runs
     # of equal values compress better
     sort_within: tuple[str, ...] = ("ip",)
+    # columns of the raw and processed files that get a Bloom filter per row
+    # group: look-ups of one value then skip row groups whose range holds it
+    # but which don't (worth it for columns of many values, e.g. ("ip",))
+    bloom_columns: tuple[str, ...] = ()
+    bloom_values: int = 1_000_000  # expected distinct values in a row group
     time_zone: str = "UTC"
 
     @property
     def table_options(self) -> dict[str, str]:
         return {"compression": self.compression} if self.compression else {}
 
+    @property
+    def log_table_options(self) -> dict[str, str]:
+        """``table_options`` and the Bloom filters of the log tables."""
+        out = self.table_options
+        for column in self.bloom_columns:
+            out[f"parquet.bloom.filter.enabled#{column}"] = "true"
+            out[f"parquet.bloom.filter.expected.ndv#{column}"] = str(self.bloom_values)
+        return out
+
     def qualified(self, table: str) -> str:
         return f"`{self.database}`.`{table}`"
 

@@ -2,6 +2,14 @@
 metrics summaries and rendering."""
 
 from tidelog.operators.enrich import enrich_logs
+from tidelog.operators.hitters import (
+    error_share,
+    frequent_keys,
+    heavy_hitters,
+    key_sketch,
+    merge_sketches,
+    tracked_for,
+)
 from tidelog.operators.layout import (
     apply_layout,
     count_rows,
@@ -10,6 +18,12 @@ from tidelog.operators.layout import (
     spread,
 )
 from tidelog.operators.metrics import metrics_by_type, metrics_totals
+from tidelog.operators.placement import (
+    balanced_partition,
+    place,
+    place_balanced,
+    placement_counts,
+)
 from tidelog.operators.skew import key_skew, partition_counts, partition_extremes, partition_skew
 from tidelog.operators.topk import (
     count_by,
@@ -21,6 +35,16 @@ from tidelog.operators.topk import (
 )
 
 __all__ = [
+    "balanced_partition",
+    "error_share",
+    "frequent_keys",
+    "heavy_hitters",
+    "key_sketch",
+    "merge_sketches",
+    "place",
+    "place_balanced",
+    "placement_counts",
+    "tracked_for",
     "apply_layout",
     "count_by",
     "count_rows",

@@ -110,7 +110,7 @@ def ingest(spark: SparkSession, cfg: LogConfig) -> JobResult:
         LOG_PARTITIONS,
         cfg.table_format,
         cluster=False,
-        options=cfg.table_options,
+        options=cfg.log_table_options,
     )
     m = obs.get
     return JobResult(
@@ -143,7 +143,7 @@ def transform(
         LOG_PARTITIONS,
         cfg.table_format,
         cluster=False,
-        options=cfg.table_options,
+        options=cfg.log_table_options,
     )
     m = obs.get
     return JobResult(m["rows"], m["malformed"], {"processed": cfg.processed_table_name})

@@ -1,6 +1,7 @@
 """Sources and sinks: log text, event-derived lines, catalog tables, JSON/CSV."""
 
 from tidelog.sources.event_logs import lines_from_events, read_events, write_lines
+from tidelog.sources.footers import footer_counts, footer_range, table_location, table_row_counts
 from tidelog.sources.tables import (
     create_database,
     create_table,
@@ -17,6 +18,10 @@ from tidelog.sources.tables import (
 from tidelog.sources.text import read_log_lines
 
 __all__ = [
+    "footer_counts",
+    "footer_range",
+    "table_location",
+    "table_row_counts",
     "create_database",
     "create_table",
     "describe_table",

@@ -10,6 +10,7 @@ configured) use ``DataFrameWriterV2.overwritePartitions``.
 
 from __future__ import annotations
 
+import re
 import threading
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
@@ -28,7 +29,25 @@ _OVERWRITE_LOCK = threading.Lock()
 
 
 def _quote(name: str) -> str:
-    return name if name.startswith("`") else f"`{name}`"
+    """A database name as one SQL identifier."""
+    return name if name.startswith("`") else f"`{name.replace('`', '``')}`"
+
+
+def _parts(name: str) -> list[str]:
+    """The parts of a table name, dotted and optionally in backticks."""
+    found = re.findall(r"`((?:[^`]|``)*)`|([^.`]+)", name)
+    return [quoted.replace("``", "`") if quoted else plain for quoted, plain in found]
+
+
+def quoted_name(name: str) -> str:
+    """A table name with every part in backticks, safe within SQL text."""
+    return ".".join(_quote(part) for part in _parts(name))
+
+
+def _text(value: str) -> str:
+    """A SQL string literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 @contextmanager
@@ -49,13 +68,13 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     """``CREATE DATABASE IF NOT EXISTS`` (idempotent)."""
     sql = f"CREATE DATABASE IF NOT EXISTS {_quote(name)}"
     if location:
-        sql += f" LOCATION '{location}'"
+        sql += f" LOCATION {_text(location)}"
     spark.sql(sql)
     return name
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
-    return spark.catalog.tableExists(name.replace("`", ""))
+    return spark.catalog.tableExists(quoted_name(name))
 
 
 def clustered(df: DataFrame, partition_cols: Sequence[str]) -> DataFrame:
@@ -209,4 +228,4 @@ def list_databases(spark: SparkSession, current: str | None = None) -> DataFrame
 
 def describe_table(spark: SparkSession, name: str) -> DataFrame:
     """``DESCRIBE FORMATTED`` (col_name, data_type, comment)."""
-    return spark.sql(f"DESCRIBE FORMATTED {name}")
+    return spark.sql(f"DESCRIBE FORMATTED {quoted_name(name)}")
