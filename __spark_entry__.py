@@ -581,6 +581,29 @@ def q_ingest_stream(spark, sf):
     return _raw_out(read_ingested(spark, f"{root}/out", cfg), with_id=False)
 
 
+def _split_ingest(spark, sf, label):
+    from tidelog.plans.rejects import ingest_split
+
+    cfg = LogConfig(input_paths=[_written_lines(spark, sf, f"{label}-lines")])
+    root = scratch_path(spark, label)
+    _setup(spark)
+    ingest_split(spark, cfg, root, "b1")
+    return cfg, root
+
+
+def q_dead_letters(spark, sf):
+    from tidelog.plans.rejects import read_rejected
+
+    rejected = read_rejected(spark, *_split_ingest(spark, sf, "dead"))
+    return rejected.select("batch", "line", F.array_join("reasons", ",").alias("reasons"))
+
+
+def q_accepted_logs(spark, sf):
+    from tidelog.plans.rejects import read_accepted
+
+    return _raw_out(read_accepted(spark, *_split_ingest(spark, sf, "accepted")), with_id=False)
+
+
 def q_list_tables(spark, sf):
     db = _scratch_db(spark, "list")
     create_table(_logs(spark, sf), f"{db}.raw_logs", ["process_date", "hour"])
@@ -693,6 +716,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             "report_state": q_report_state,
             "incremental_reports": q_incremental_reports,
             "trailing_top_ips": q_trailing_top_ips,
+            "dead_letters": q_dead_letters,
+            "accepted_logs": q_accepted_logs,
             "placement_counts": q_placement_counts,
             "balanced_placement": q_balanced_placement,
             "heavy_hitters": q_heavy_hitters,
@@ -933,6 +958,11 @@ def oracle_sql() -> dict[str, str]:
                 "SELECT 'device_type', process_date, device_type, COUNT(*) FROM e GROUP BY ALL"
             ),
             "incremental_reports": _union_reports_sql(),
+            "dead_letters": _with_e(
+                "SELECT 'b1' AS batch, line, 'timestamp,method,endpoint,protocol,status' AS reasons "
+                "FROM lines WHERE line LIKE 'corrupt%'"
+            ),
+            "accepted_logs": _with_e(f"SELECT {_RAW_SELECT} FROM e WHERE process_date IS NOT NULL"),
             "partition_counts": _with_e(_PLACED_SQL),
             "placement_counts": _with_e(_PLACED_SQL),
             "partition_skew": _with_e(

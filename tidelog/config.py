@@ -34,6 +34,11 @@ class LogConfig:
     bytes_type: str = "int"
     strict: bool = False
     drop_malformed: bool = False
+    # folder for ingests with a dead-letter side (see plans.rejects): lines
+    # that lack a required field are kept there with reasons, the raw table
+    # holds the others; ``batch`` names the lines of one ingest
+    split_root: str | None = None
+    batch: str = "batch"
     # report options
     top_k: int = 5
     year_week: str = "calendar"

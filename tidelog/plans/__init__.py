@@ -3,6 +3,14 @@
 from tidelog.plans.adhoc import adhoc, job_views
 from tidelog.plans.days import day_filter, week_filter
 from tidelog.plans.jobs import JobResult, backfill, ingest, report, run_all, transform
+from tidelog.plans.rejects import (
+    attach_accepted,
+    failed_fields,
+    ingest_split,
+    read_accepted,
+    read_rejected,
+    split_lines,
+)
 from tidelog.plans.reports import (
     REPORTS,
     build_reports,
@@ -26,6 +34,12 @@ from tidelog.plans.state import (
 )
 
 __all__ = [
+    "attach_accepted",
+    "failed_fields",
+    "ingest_split",
+    "read_accepted",
+    "read_rejected",
+    "split_lines",
     "REPORTS",
     "JobResult",
     "adhoc",

@@ -26,6 +26,7 @@ from tidelog.operators.enrich import enrich_logs
 from tidelog.operators.layout import apply_layout
 from tidelog.operators.metrics import MetricsRecorder, write_metrics_json
 from tidelog.plans.days import day_filter, week_filter
+from tidelog.plans.rejects import attach_accepted, ingest_split
 from tidelog.plans.reports import build_reports, write_reports
 from tidelog.plans.state import refresh_state, state_reports
 from tidelog.session import configure_session
@@ -42,6 +43,9 @@ class JobResult:
     tables: dict[str, str] = field(default_factory=dict)
     # days (process_date values) written by an ingest; None when not tracked
     days: list[str] | None = None
+    # with a dead-letter side: lines per failed field, (day, hour) pairs written
+    rejected: dict[str, int] = field(default_factory=dict)
+    hours: list[tuple[str, str]] = field(default_factory=list)
 
 
 def _observed(
@@ -95,10 +99,18 @@ def parsed_lines(spark: SparkSession, cfg: LogConfig) -> DataFrame:
 
 
 def ingest(spark: SparkSession, cfg: LogConfig) -> JobResult:
-    """Text files -> parsed ``raw_logs`` table partitioned by (day, hour)."""
+    """Text files -> parsed ``raw_logs`` table partitioned by (day, hour).
+
+    With ``cfg.split_root``, rejected lines go to its dead-letter side in the
+    same pass and the raw table lies over its accepted rows.
+    """
     if not cfg.input_paths:
         raise ValueError("LogConfig.input_paths is empty")
     configure_session(spark, cfg.time_zone)
+    if cfg.split_root:
+        result = ingest_split(spark, cfg, cfg.split_root, cfg.batch)
+        result.tables["raw"] = attach_accepted(spark, cfg, cfg.split_root, result.hours)
+        return result
     create_database(spark, cfg.database, cfg.database_location)
     # observed above the layout shuffle, in the write stage: a shuffle stage
     # recomputed after a lost executor would count its rows again
@@ -206,7 +218,8 @@ def run_all(
     with recorder.timed("ingestion", "job"):
         out["ingest"] = ingest(spark, cfg)
     days = out["ingest"].days if incremental else None
-    include_null = out["ingest"].malformed > 0 if incremental else True
+    # rejected lines aren't in the raw table, so there is no NULL day
+    include_null = (out["ingest"].malformed > 0 and not cfg.split_root) if incremental else True
     with recorder.timed("transformation", "job"):
         out["transform"] = transform(spark, cfg, days, include_null)
     with recorder.timed("analytics", "job"):

@@ -44,7 +44,7 @@ def quoted_name(name: str) -> str:
     return ".".join(_quote(part) for part in _parts(name))
 
 
-def _text(value: str) -> str:
+def text_literal(value: str) -> str:
     """A SQL string literal."""
     escaped = value.replace("\\", "\\\\").replace("'", "\\'")
     return f"'{escaped}'"
@@ -68,7 +68,7 @@ def create_database(spark: SparkSession, name: str, location: str | None = None)
     """``CREATE DATABASE IF NOT EXISTS`` (idempotent)."""
     sql = f"CREATE DATABASE IF NOT EXISTS {_quote(name)}"
     if location:
-        sql += f" LOCATION {_text(location)}"
+        sql += f" LOCATION {text_literal(location)}"
     spark.sql(sql)
     return name
 
@@ -192,11 +192,13 @@ def write_partitioned_path(
     partition_cols: Sequence[str],
     fmt: str = "parquet",
     cluster: bool = True,
+    options: dict[str, str] | None = None,
 ) -> str:
     """Path form (no catalog): dynamic partition overwrite into ``path``."""
     data = clustered(df, partition_cols) if cluster else df
     (
         data.write.format(fmt)
+        .options(**(options or {}))
         .option("partitionOverwriteMode", "dynamic")
         .mode("overwrite")
         .partitionBy(*partition_cols)
@@ -205,6 +207,12 @@ def write_partitioned_path(
     return path
 
 
+def delete_folder(spark: SparkSession, path: str) -> bool:
+    """Deletes a folder of any Hadoop file system; False where there is none."""
+    target = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
 
