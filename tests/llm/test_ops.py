@@ -280,6 +280,23 @@ def test_host_quality(spark):
     assert host_quality.host_quality(frame(spark, [])).collect() == []
 
 
+def test_hosts_are_judged_against_the_others(spark):
+    """A host far above the others goes, one near the border stays."""
+    good = " ".join(f"word{i}" for i in range(60))
+    rows, number = [], 0
+    failures = {f"normal{i}": 10 + i % 5 for i in range(24)} | {"junk": 60, "border": 23}
+    for host, bad in failures.items():
+        for i in range(100):
+            rows.append((number, "too short" if i < bad else good, host))
+            number += 1
+    got = host_quality.host_quality(frame(spark, rows)).collect()
+    kept = {h: sum(r["kept"] for r in got if r["host"] == h) for h in failures}
+    assert kept == {h: 0 if h == "junk" else 100 - bad for h, bad in failures.items()}
+    # hosts that are all alike aren't judged by tiny differences
+    alike = [(i, "too short" if i % 100 < 10 + (i // 100 == 29) else good, f"h{i // 100}") for i in range(3000)]
+    assert all(r["kept"] != r["base_failed"] for r in host_quality.host_quality(frame(spark, alike)).collect())
+
+
 # ------------------------------------------------------------ encoding
 
 
@@ -332,6 +349,23 @@ def test_training_order(spark, docs, monkeypatch):
     assert later == {s: x for s, x in back.items() if s >= 13}
 
 
+def test_training_order_query(spark):
+    """Every row of the query, its ids' checksum included, against the library."""
+    source = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text").collect()
+    want = {}
+    for d, ids in reference_ids([(r["doc_id"], r["text"]) for r in source]):
+        ids = ids + [training_order.END_ID]
+        for p, at in enumerate(range(0, len(ids), training_order.STRIDE)):
+            part = ids[at : at + training_order.STRIDE]
+            padded = part + [training_order.PAD_ID] * (training_order.STRIDE - len(part))
+            want[d, p] = (len(part), zlib.crc32(np.array(padded, "<u2").tobytes()))
+    got = training_order.query(spark, "/root/testdata/sf0.001").collect()
+    assert {(r["doc_id"], r["part"]): (r["n_ids"], r["ids_crc32"]) for r in got} == want
+    assert sorted(r["slot"] for r in got) == list(range(len(want)))
+    size = 2 * training_order.STRIDE
+    assert all(r["byte_offset"] == r["slot"] % training_order.SHARD * size for r in got)
+
+
 def with_other_cores(spark, monkeypatch, module, name, cores, later, after):
     """The number of cores that scans are planned with changes when
     ``module.name`` has run (or begins)."""

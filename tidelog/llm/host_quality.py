@@ -3,8 +3,11 @@
 Every document is tested against a few text rules.  Failures are counted by
 host (the ``source`` column), the hosts' failure rates are shrunk towards a
 beta prior that is fitted to all hosts, and the hosts' verdicts go back to
-their documents.  A document is kept if it passes the base rules itself and
-its host is not rejected.
+their documents.  A host is judged by its place against that prior: it is
+rejected if its shrunk rate lies ``PRIOR_DEVIATIONS`` standard deviations
+above the prior's mean and is ``TIMES_MEAN`` times as high, or in any case
+above ``MAX_HOST_RATE``.  A document is kept if it passes the base rules
+itself and its host is not rejected.
 
 Everything here is DataFrame code without Python workers.  The measures are
 taken within each row, so no text is shuffled; a host with a third of all
@@ -32,8 +35,10 @@ MAX_REPEAT_PERCENT = 50
 #: Further rules that count against a host, in percent.
 MAX_SYMBOL_PERCENT = 10
 MAX_DUP_LINE_PERCENT = 30
-#: A host is rejected when its shrunk failure rate is above this.
+#: A host is rejected when its shrunk failure rate is above this, or that far
+#: above the prior's mean in the prior's standard deviations and as a multiple.
 MAX_HOST_RATE = 0.8
+PRIOR_DEVIATIONS, TIMES_MEAN = 3.0, 2.0
 #: Bounds of the prior's weight, in documents.
 PRIOR_MIN, PRIOR_MAX = 1.0, 1000.0
 
@@ -126,9 +131,8 @@ def host_verdicts(rules: DataFrame) -> DataFrame:
     weight = PRIOR_MAX if var <= 1e-12 else mean * (1 - mean) / var - 1
     weight = min(max(weight, PRIOR_MIN), PRIOR_MAX)
     shrunk = (F.col("n_failed") + F.lit(mean * weight)) / (F.col("n_docs") + F.lit(weight))
-    return hosts.withColumn("host_rate", shrunk).withColumn(
-        "host_rejected", F.col("host_rate") > MAX_HOST_RATE
-    )
+    limit = min(MAX_HOST_RATE, max(mean + PRIOR_DEVIATIONS * var**0.5, TIMES_MEAN * mean))
+    return hosts.withColumn("host_rate", shrunk).withColumn("host_rejected", F.col("host_rate") > limit)
 
 
 def host_quality(docs: DataFrame) -> DataFrame:
@@ -195,9 +199,10 @@ WITH d AS (
 ), s AS (
   SELECT avg(f / n) AS mean, var_pop(f / n) AS v FROM h
 ), q AS (
-  SELECT mean, least(greatest(CASE WHEN v <= 1e-12 THEN 1000.0 ELSE mean * (1 - mean) / v - 1 END, 1.0), 1000.0) AS k FROM s
+  SELECT mean, least(0.8, greatest(mean + 3.0 * sqrt(v), 2.0 * mean)) AS top,
+         least(greatest(CASE WHEN v <= 1e-12 THEN 1000.0 ELSE mean * (1 - mean) / v - 1 END, 1.0), 1000.0) AS k FROM s
 ), j AS (
-  SELECT source, (f + mean * k) / (n + k) > 0.8 AS rejected FROM h, q
+  SELECT source, (f + mean * k) / (n + k) > top AS rejected FROM h, q
 )
 SELECT r.doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
        NOT base_failed AND NOT j.rejected AS kept
