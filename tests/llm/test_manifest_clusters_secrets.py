@@ -339,3 +339,20 @@ def test_secret_scan_is_linear(unit):
 
     seconds(2000)
     assert seconds(40_000) < 30 * max(seconds(4000), 0.005)
+
+
+# ------------------------------------------------------------ components
+
+
+def test_joined_components_equal_components_of_all_links(spark):
+    from tidelog.llm.components import components, joined_components
+
+    rng = random.Random(17)
+    batches = [[(rng.randrange(60), rng.randrange(60)) for _ in range(n)] for n in (12, 0, 9, 15)]
+    frame = lambda pairs: spark.createDataFrame(pairs, "u long, v long")
+    comp, links = None, []
+    for batch in batches:
+        links += batch
+        comp = components(frame(batch)) if comp is None else joined_components(comp, frame(batch))
+        whole = {tuple(r) for r in components(frame(links)).collect()}
+        assert {tuple(r) for r in comp.select("node", "comp").collect()} == whole

@@ -48,8 +48,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import NULL_ID, id_or_null, materialise, prepare, table
-from tidelog.llm.components import components
+from tidelog.llm.common import NULL_ID, discard, id_or_null, materialise, prepare, table, written
+from tidelog.llm.components import components, joined_components
 from tidelog.llm.shingles import mix, shingle_sets
 
 #: Similarity in percent.
@@ -389,16 +389,17 @@ class ShingleJoin:
         both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
         return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
 
-    def _linked(self, pairs: DataFrame, links: DataFrame | None, comp: DataFrame | None):
-        """The links found so far and their components, after trying ``pairs``."""
-        passed = materialise(self._passed(pairs), "passed-pairs")
-        if not (n := passed.count()):
-            return links, comp
-        found = materialise(self._verified(passed, n).select("u", "v"), "links")
-        if found.isEmpty():
-            return links, comp
-        links = found if links is None else links.unionByName(found)
-        return links, components(links)
+    def _linked(self, pairs: DataFrame, comp: DataFrame | None) -> DataFrame | None:
+        """The components after trying ``pairs``."""
+        spark = pairs.sparkSession
+        passed, passed_path = written(self._passed(pairs), "passed-pairs")
+        if n := passed.count():
+            found, found_path = written(self._verified(passed, n).select("u", "v"), "links")
+            if not found.isEmpty():
+                comp = components(found) if comp is None else joined_components(comp, found)
+            discard(spark, found_path)
+        discard(spark, passed_path)
+        return comp
 
     def _components(self, lists: DataFrame) -> DataFrame | None:
         """node and comp of the classes that are linked."""
@@ -412,7 +413,8 @@ class ShingleJoin:
                 >= PERCENT * (F.col("na") + F.col("nb"))
             )
         )
-        links, comp, done, open_lists = None, None, None, lists.withColumn("comp", F.col("cid"))
+        spark, open_path = lists.sparkSession, None
+        comp, done, open_lists = None, None, lists.withColumn("comp", F.col("cid"))
         for turn in range(STARS + 1):
             if turn < STARS:
                 first = F.min(F.struct(F.xxhash64("cid", F.lit(turn)).alias("h"), "cid", "n", "pos", "comp"))
@@ -451,12 +453,16 @@ class ShingleJoin:
             best = pairs.groupBy("b").agg(
                 F.min(F.struct(F.xxhash64("a", F.lit(turn)).alias("h"), "a")).alias("l")
             )
-            best = materialise(best.select("l.a", "b"), "first-pairs")
+            best, best_path = written(best.select("l.a", "b"), "first-pairs")
             rest = pairs.join(best, ["a", "b"], "left_anti")
             for tried in (best, rest):
+                tried_path = None
                 if comp is not None:
-                    tried = materialise(self._apart(tried, comp), "tried-pairs")
-                links, comp = self._linked(tried, links, comp)
+                    tried, tried_path = written(self._apart(tried, comp), "tried-pairs")
+                comp = self._linked(tried, comp)
+                if tried_path:
+                    discard(spark, tried_path)
+            discard(spark, best_path)
             if comp is None:
                 continue
             if turn == 0:  # lists of two are done
@@ -473,7 +479,9 @@ class ShingleJoin:
                 .where(F.col("lo") != F.col("hi"))
                 .select("k")
             )
-            open_lists = materialise(labelled.join(mixed, "k", "left_semi"), "open-lists")
+            last, (open_lists, open_path) = open_path, written(labelled.join(mixed, "k", "left_semi"), "open-lists")
+            if last:
+                discard(spark, last)
             if open_lists.isEmpty():
                 break
         return comp
