@@ -4,6 +4,7 @@ import random
 import zlib
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -209,3 +210,25 @@ def test_candidate_headers():
     for bad in (b"", b"1\r\n", b"1 is a version\r\n\r\n", b"1\r\nContent-Length: -4\r\n\r\n", b"1\r\nContent-Length: x\r\n\r\n", b"\xff\r\n\r\n"):
         assert parse_candidate("p", 0, 0, bad)[4] is None
     assert zlib.crc32(b"") == 0
+
+
+def test_contexts_that_share_no_half_hold_no_repeats(monkeypatch):
+    """Leaving them out changes no span."""
+    rng = np.random.default_rng(5)
+    rows, anchors = [], [rng.bytes(sd.GRAM) for _ in range(4)]
+    pieces = [rng.bytes(16) for _ in range(5)]
+    for i in range(300):
+        left = b"".join(pieces[j] for j in rng.integers(0, 5, 4))[int(rng.integers(0, 40)) :]
+        right = b"".join(pieces[j] for j in rng.integers(0, 5, 4))[: int(rng.integers(24, 65))]
+        number = int(rng.integers(0, 4))
+        s = left + anchors[number] + right
+        rows.append((number, i, 0, 1000 << 16 | len(left) << 8 | len(s) - len(left), s))
+    f = pd.DataFrame(rows, columns=["anchor", "doc", "th", "at", "s"])
+    kept = len(sd._with_a_half(f))
+    got = sorted(map(tuple, sd._repeats(f).to_numpy().tolist()))
+    monkeypatch.setattr(sd, "_with_a_half", lambda rows: rows)
+    assert got == sorted(map(tuple, sd._repeats(f).to_numpy().tolist()))
+    assert got and kept < len(f)
+    alone = f[f["anchor"] == 0].iloc[:1]
+    monkeypatch.undo()
+    assert len(sd._repeats(alone)) == 0

@@ -308,10 +308,28 @@ def _byte(shift: int):
     return F.shiftright("at", shift).bitwiseAND(F.lit(0xFF))
 
 
+def _with_a_half(rows: pd.DataFrame) -> pd.DataFrame:
+    """The contexts that can hold a window of another one of their anchor: of
+    a window's bytes beside the anchor, half stand before or after it."""
+    half = BEFORE // 2
+    able = np.zeros(len(rows), bool)
+    left = (rows["at"].to_numpy() >> 8 & 0xFF).tolist()
+    before = [s[x - half : x] if x >= half else b"" for s, x in zip(rows["s"], left)]
+    after = [s[x + GRAM : x + GRAM + half] for s, x in zip(rows["s"], left)]
+    for side in (before, after):
+        whole = np.fromiter(map(len, side), np.int64, len(side)) == half
+        f = pd.DataFrame({"anchor": rows["anchor"].to_numpy(), "side": side})[whole]
+        able[np.flatnonzero(whole)[f.duplicated(keep=False).to_numpy()]] = True
+    return rows[able]
+
+
 def _collections(rows: pd.DataFrame):
     """The task's contexts in collections: their rows, and the contexts with
     a byte that occurs in none of the texts in place of the anchor, another
     one for each anchor of the collection."""
+    rows = _with_a_half(rows)
+    if rows.empty:
+        return
     rows = rows.sort_values("anchor", kind="stable").reset_index(drop=True)
     free = np.flatnonzero(np.bincount(np.frombuffer(b"".join(rows["s"]), np.uint8), minlength=256) == 0)
     number = (rows["anchor"] != rows["anchor"].shift()).cumsum().to_numpy() - 1
@@ -331,7 +349,8 @@ def _collections(rows: pd.DataFrame):
 def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
     """Spans that repeat earlier windows of the task's contexts."""
     found = [_repeats_of(part, contexts) for part, contexts in _collections(rows)]
-    return pd.concat(found)
+    none = pd.DataFrame(columns=["doc", "th", "a", "b"], dtype="int64")
+    return pd.concat(found) if found else none
 
 
 def _repeats_of(rows: pd.DataFrame, contexts: list[bytes]) -> pd.DataFrame:
