@@ -274,13 +274,13 @@ class ShingleJoin:
                     if len(s):
                         p = _ordered(s, levels)[: prefix_length(len(s))]
                         k.append(_short(p))
-                        c.append(np.full(len(p), class_id(s) & 0x7FFFFFFF, np.int32))
+                        c.append(np.full(len(p), class_id(s), np.int64))
                 if k:
                     yield pa.RecordBatch.from_arrays(
                         [pa.array(np.concatenate(k)), pa.array(np.concatenate(c))], ["k", "c"]
                     )
 
-        seen = self.docs.mapInArrow(brief, "k int, c int")
+        seen = self.docs.mapInArrow(brief, "k int, c long")
         both = seen.groupBy("k").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
         shared = both.where(F.col("lo") != F.col("hi")).select(F.col("k").cast("long").alias("x"))
         words = self.docs.sparkSession.sparkContext.broadcast(bit_map(shared, SHINGLE_BITS))
