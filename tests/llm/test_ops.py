@@ -2,10 +2,13 @@
 
 import hashlib
 import random
+import textwrap
 import zlib
+from pathlib import Path
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from tokenizers import Tokenizer
 
@@ -256,6 +259,50 @@ def test_line_stage_finds_long_passages_on_few_lines(spark, docs):
     assert got[803].count("\n") == 2 and not {1, 805, 806, 807} & set(got)
 
 
+def test_line_runs_of_few_different_lines(spark):
+    """Hot lines in many contexts, against all windows by content."""
+    rng = np.random.default_rng(11)
+    rows = []
+    for d in range(150):
+        lines = [f"line {x}" for x in rng.zipf(1.5, int(rng.integers(0, 14))) % 9]
+        rows.append((d, "\n".join(lines)))
+    seen, want = set(), {}
+    for d, t in rows:
+        lines, cut = t.split("\n") if t else [], set()
+        for i in range(len(lines) - 2):
+            if tuple(lines[i : i + 3]) in seen:
+                cut |= set(range(i, i + 3))
+            seen.add(tuple(lines[i : i + 3]))
+        want[d] = ("\n".join(s for i, s in enumerate(lines) if i not in cut), len(cut))
+    got = line_runs.drop_repeated_lines(frame(spark, rows)).collect()
+    assert {r["doc_id"]: (r["text"], r["lr_removed"]) for r in got} == want
+
+
+def test_line_runs_fingerprints(spark):
+    """A row for each selected line alone; every window selects one of its lines."""
+    text = "\n".join(f"line {i * i % 101}" for i in range(60))
+    rows = line_runs.fingerprints(frame(spark, [(1, text)])).orderBy("at").collect()
+    assert len({r["at"] for r in rows}) == len(rows) < 50
+    windows = {i: r["at"] for r in rows for i in range(r["start"], r["end"] - 2)}
+    assert sorted(windows) == list(range(58))
+    assert all(i <= at < i + 3 for i, at in windows.items())
+
+
+def test_line_runs_with_clashing_names(spark):
+    names = ["lr_key", "lr_lines", "lr_removed", "k_id", "k_text", "row", "lines", "removed", "raw", "cut", "starts"]
+    rows = [(1, "a\nb\nc\nd"), (2, "x\na\nb\nc"), (3, None)]
+    df = frame(spark, rows)
+    for i, name in enumerate(names):
+        df = df.withColumn(name, F.lit(i))
+    kept = line_runs.stage(spark, df, None)
+    assert kept.columns == df.columns
+    got = {r["doc_id"]: r for r in kept.collect()}
+    assert got[2]["text"] == "x" and got[1]["text"] == rows[0][1] and got[3]["text"] is None
+    assert all([r[n] for n in names] == list(range(len(names))) for r in got.values())
+    out = line_runs.drop_repeated_lines(df).where("doc_id = 2").collect()
+    assert [(r["lr_lines"], r["lr_removed"], r["lr_key"]) for r in out] == [(4, 3, 0)]
+
+
 # ------------------------------------------------------------ host rules
 
 
@@ -325,8 +372,10 @@ def test_packing(spark, docs):
     assert sum(r["length"] for r in repeated) == 1 + 3 + 2 + 2
 
 
-def test_training_order(spark, docs, monkeypatch):
+@pytest.mark.parametrize("tasks", [training_order.MOST_TASKS, 3])
+def test_training_order(spark, docs, monkeypatch, tasks):
     monkeypatch.setattr(training_order, "SHARD", 8)
+    monkeypatch.setattr(training_order, "MOST_TASKS", tasks)
     rows = [*docs, docs[0], (None, None)]
     source = scratch_path(spark, "source")
     frame(spark, rows).repartition(3).write.parquet(source)
@@ -433,6 +482,34 @@ def test_license_lookup(spark):
     assert license_digest.license_lookup(frame(spark, []), own).collect() == []
 
 
+def test_license_files(spark):
+    """Files as they are distributed: titles, notices, wrapped lines."""
+    k = license_digest.KNOWN
+    notice = "Copyright (c) 2021, Some One <one@example.org>\nAll rights reserved.\n\n"
+    rows = [
+        (1, "MIT License\n\n" + notice + textwrap.fill(k["MIT"], 78)),
+        (2, "The MIT License (MIT)\n\nCopyright © 2001 x\n\n" + textwrap.fill(k["MIT"], 60)),
+        (3, "ISC License\n\n" + notice + textwrap.fill(k["ISC"], 70)),
+        (4, "BSD 3-Clause License\n\n" + notice + textwrap.indent(textwrap.fill(k["BSD-3-Clause"], 70), "# ")),
+        (5, notice + k["BSD-2-Clause"]),
+        (6, textwrap.fill(k["Unlicense"], 72)),
+        (7, "zlib License\n\n(C) 1999 x\n\n" + k["Zlib"]),
+        (8, "All rights reserved by the author\n" + k["MIT"]),
+        (9, "MIT License\n\n" + k["ISC"]),
+        (10, k["MIT"] + "\n" + "word " * 500_000),
+    ]
+    want = {1: "MIT", 2: "MIT", 3: "ISC", 4: "BSD-3-Clause", 5: "BSD-2-Clause", 6: "Unlicense", 7: "Zlib"}
+    files = {"Apache-2.0": "Apache-2.0", "GPL-2": "GPL-2.0", "GPL-3": "GPL-3.0", "LGPL-2.1": "LGPL-2.1", "MPL-2.0": "MPL-2.0"}
+    for i, (name, license_id) in enumerate(files.items()):
+        file = Path("/usr/share/common-licenses") / name  # the texts aren't in the repository
+        if file.exists():
+            text = file.read_text(encoding="utf-8")
+            rows += [(100 + i, text.upper()), (200 + i, textwrap.indent(text, "  ")), (300 + i, text + " and more")]
+            want |= {100 + i: license_id, 200 + i: license_id}
+    got = license_digest.digest_lookup(frame(spark, rows), license_digest.known_digests(spark)).collect()
+    assert {r["doc_id"]: r["license_id"] for r in got} == {d: want.get(d) for d, _ in rows}
+
+
 # ------------------------------------------------------------ nearest neighbours
 
 
