@@ -6,7 +6,7 @@ split; running sums of these few counts give each sequence its place in the
 input.  A keyed Feistel network permutes the places: it works on the next
 even power of two and is applied again while the result lies outside of the
 number of sequences, so that every sequence gets its own slot below that
-number.  The rows are dealt by shard, a range of ``SHARD`` slots, and each
+number.  The rows are dealt by ranges of shards, ``SHARD`` slots each, and each
 task writes its shards in slot order as files without headers: slot s is
 found at byte (s mod SHARD) * STRIDE * width of file s div SHARD, so reading
 is sequential and can go on at any slot.
@@ -43,6 +43,10 @@ from tidelog.session import scratch_path
 STRIDE, END_ID, PAD_ID = 512, 50256, 0
 #: Slots of a shard, the key of the order, and the network's rounds.
 SHARD, KEY, ROUNDS = 8192, 20260101, 6
+#: Tasks that write or read shards; beyond it a task takes a range of several.
+MOST_TASKS = 20_000
+#: File of the number of sequences, written when all shards are complete.
+TOTAL = "sequences"
 #: Sequences of an Arrow batch.
 BATCH = 1024
 
@@ -228,30 +232,36 @@ def _write_training_order(docs: DataFrame, folder: str, vocabulary: str | None)
         "n_ids",
         "ids",
     )
-    # slots are dense, so shards are even: a range of slots for each task
+    # slots are dense, so shards are even: task t takes the t-th range of them
     shards = max(1, -(-total // SHARD))
-    dealt = placed.repartition(shards, "shard").sortWithinPartitions("slot")
+    each = -(-shards // MOST_TASKS)
+    task = F.floor(F.col("shard") / each).cast("int")
+    dealt = placed.repartitionById(-(-shards // each), task).sortWithinPartitions("slot")
     written = dealt.mapInArrow(
         write, "slot long, shard long, byte_offset long, doc_id long, part long, n_ids long"
     )
     manifest = materialise(written, "manifest")
     if (n := manifest.count()) != total:
         raise RuntimeError(f"{n} sequences written, {total} counted")
+    with files.open_output_stream(f"{root}/{TOTAL}") as f:
+        f.write(str(total).encode())
     return manifest
 
 
 def read_training_order(spark, folder: str, width: int, first_slot: int = 0) -> DataFrame:
     """slot and ids of the shards from ``first_slot`` on, each shard read from
-    its start or from that slot to its end."""
+    its start or from that slot to its end.  The number of sequences, which
+    the writer leaves last, gives the shards; the folder isn't listed."""
     files, root = _files(folder)
-    names = [i.base_name for i in files.get_file_info(pafs.FileSelector(root)) if i.base_name.startswith("shard-")]
-    wanted = sorted((int(n[6:14]),) for n in names if (int(n[6:14]) + 1) * SHARD > first_slot)
+    with files.open_input_file(f"{root}/{TOTAL}") as f:
+        total = int(f.read())
+    first, end = first_slot // SHARD, -(-total // SHARD)
     size = STRIDE * width
 
     def read(batches):
         files, root = _files(folder)
         for b in batches:
-            for shard in b.column("shard").to_pylist():
+            for shard in b.column("id").to_pylist():
                 with files.open_input_file(f"{root}/shard-{shard:08d}.bin") as f:
                     slot = max(first_slot, shard * SHARD)
                     f.seek((slot - shard * SHARD) * size)
@@ -263,7 +273,7 @@ def read_training_order(spark, folder: str, width: int, first_slot: int = 0) ->
                         )
                         slot += n
 
-    tasks = spark.createDataFrame(wanted, "shard long").repartition(max(1, len(wanted)), "shard")
+    tasks = spark.range(first, max(first, end), 1, max(1, min(end - first, MOST_TASKS)))
     return tasks.mapInArrow(read, "slot long, ids binary")
 
 
