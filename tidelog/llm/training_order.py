@@ -1,8 +1,9 @@
 """Operator 3: token ids in training order, as fixed-stride shards.
 
 Each document's ids and an end id are cut into sequences of ``STRIDE`` ids
-(the last one padded).  A first pass counts the sequences of every input
-split; running sums of these few counts give each sequence its place in the
+(the last one padded).  The ids are written once, with the task and the
+sequences of that task before each row; running sums of the tasks' few counts
+give each sequence its place in the
 input.  A keyed Feistel network permutes the places: it works on the next
 even power of two and is applied again while the result lies outside of the
 number of sequences, so that every sequence gets its own slot below that
@@ -11,14 +12,9 @@ task writes its shards in slot order as files without headers: slot s is
 found at byte (s mod SHARD) * STRIDE * width of file s div SHARD, so reading
 is sequential and can go on at any slot.
 
-Both passes are planned with the same input splits (``pinned_splits``), as a
-place is told by the split and the number within it.  Each task checks that
-its shards' slots are dense, and the manifest is compared with the count, so
-that a sequence that one pass saw differently ends the run.
-
-A shard is written under a name of its own attempt and then renamed, so that
-a repeated task leaves a whole file.  The second pass encodes again, as the
-ids needn't be stored twice then.
+Each task checks that its shards' slots are dense, and the manifest is
+compared with the count.  A shard is written under a name of its own attempt
+and then renamed, so that a repeated task leaves a whole file.
 
 Defined cases: a null or empty text is one sequence with the end id; repeated
 rows and ids are materialised row by row; an empty table gives no shard and
@@ -33,11 +29,12 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.bpe import codec, vocabulary_path
-from tidelog.llm.common import materialise, pinned_splits, table
+from tidelog.llm.common import materialise, table
 from tidelog.session import scratch_path
 
 STRIDE, END_ID, PAD_ID = 512, 50256, 0
@@ -85,12 +82,13 @@ def _width(c) -> str:
 def _cells(encoded: list[bytes], width: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The ids of texts as rows of STRIDE ids, each text's number of ids, and
     of rows."""
-    sizes = np.array([len(raw) // 4 + 1 for raw in encoded], np.int64)
+    item = np.dtype(width).itemsize
+    sizes = np.array([len(raw) // item + 1 for raw in encoded], np.int64)
     counts = -(-sizes // STRIDE)
     flat = np.full(int(counts.sum()) * STRIDE, PAD_ID, width)
     for raw, size, end in zip(encoded, sizes, np.cumsum(counts) * STRIDE):
         start = end - -(-size // STRIDE) * STRIDE
-        flat[start : start + size - 1] = np.frombuffer(raw, "<u4")
+        flat[start : start + size - 1] = np.frombuffer(raw, width)
         flat[start + size - 1] = END_ID
     return flat.reshape(-1, STRIDE), sizes, counts
 
@@ -101,38 +99,40 @@ def _binary(cells: np.ndarray | bytes, n: int, size: int) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(cells)])
 
 
-def _by_split(docs: DataFrame) -> DataFrame:
-    return docs.select(
-        F.col("doc_id").cast("long").alias("doc_id"),
-        "text",
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("block"),
-    )
-
-
-def split_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
-    """Sequences of every input split, and of those before it."""
+def encoded_rows(docs: DataFrame, vocabulary: str) -> DataFrame:
+    """Every row's ids, written once: task, first (sequences of the task before
+    this row's), n (its sequences), doc_id, ids.  A retried task's rows are
+    those of the attempt that was committed, so places never mix."""
 
-    def count(batches):
-        c, totals = codec(vocabulary), {}
+    def encode(batches):
+        c, before, task = codec(vocabulary), 0, TaskContext.get().partitionId()
         for b in batches:
             encoded = c.encode_all(b.column("text").fill_null("").to_pylist())
-            for path, block, raw in zip(b.column("path").to_pylist(), b.column("block").to_pylist(), encoded):
-                n = len(raw) // 4 + 1
-                totals[path, block] = totals.get((path, block), 0) + -(-n // STRIDE)
-        if totals:
+            n = np.array([-(-(len(raw) // 4 + 1) // STRIDE) for raw in encoded], np.int64)
+            first = before + np.cumsum(n) - n
+            before += int(n.sum())
+            ids = [np.frombuffer(raw, "<u4").astype(_width(c)).tobytes() for raw in encoded]
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array([k[0] for k in totals]),
-                    pa.array([k[1] for k in totals], pa.int64()),
-                    pa.array(list(totals.values()), pa.int64()),
+                    pa.array(np.full(len(n), task, np.int64)),
+                    pa.array(first),
+                    pa.array(n),
+                    b.column("doc_id"),
+                    pa.array(ids, pa.binary()),
                 ],
-                ["path", "block", "n"],
+                ["task", "first", "n", "doc_id", "ids"],
             )
 
-    counted = _by_split(docs).mapInArrow(count, "path string, block long, n long")
-    counts = materialise(counted, "split-counts")
-    before = Window.orderBy("path", "block").rowsBetween(Window.unboundedPreceding, -1)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return materialise(
+        rows.mapInArrow(encode, "task long, first long, n long, doc_id long, ids binary"), "encoded-rows"
+    )
+
+
+def split_counts(rows: DataFrame) -> DataFrame:
+    """Sequences of every task of ``encoded_rows``, and of those before it."""
+    counts = rows.groupBy("task").agg(F.sum("n").alias("n"))
+    before = Window.orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
     return materialise(
         counts.withColumn("base", F.coalesce(F.sum("n").over(before), F.lit(0))), "split-bases"
     )
@@ -141,42 +141,30 @@ def split_counts(docs: DataFrame, vocabulary: str) -> DataFrame:
 def write_training_order(docs: DataFrame, folder: str, vocabulary: str | None = None) -> DataFrame:
     """Writes the shards below ``folder`` (a URI or path that all executors
     share) and returns the manifest: slot, shard, byte_offset, doc_id, part,
-    n_ids.  ``docs`` is read from files."""
-    with pinned_splits(docs.sparkSession):
-        return _write_training_order(docs, folder, vocabulary)
-
-
-def _write_training_order(docs: DataFrame, folder: str, vocabulary: str | None) -> DataFrame:
+    n_ids."""
     words = vocabulary or vocabulary_path()
-    splits = split_counts(docs, words)
+    rows = encoded_rows(docs, words)
+    splits = split_counts(rows)
     total = splits.agg(F.sum("n")).first()[0] or 0
 
     def cut(batches):
-        c, seen = codec(words), {}
+        width = _width(codec(words))
         for b in batches:
-            encoded = c.encode_all(b.column("text").fill_null("").to_pylist())
-            cells, sizes, counts = _cells(encoded, _width(c))
-            first = np.zeros(len(counts), np.int64)
-            places = zip(b.column("path").to_pylist(), b.column("block").to_pylist(), counts.tolist())
-            for i, (path, block, n) in enumerate(places):
-                first[i] = seen.get((path, block), 0)
-                seen[path, block] = int(first[i]) + n
+            cells, sizes, counts = _cells(b.column("ids").to_pylist(), width)
+            first = b.column("first").to_numpy()
             row = np.repeat(np.arange(len(counts)), counts)
             part = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
             for at in range(0, len(row), BATCH):
                 r, p = row[at : at + BATCH], part[at : at + BATCH]
-                take = pa.array(r)
                 yield pa.RecordBatch.from_arrays(
                     [
-                        b.column("path").take(take),
-                        b.column("block").take(take),
                         pa.array(first[r] + p),
-                        b.column("doc_id").take(take),
+                        b.column("doc_id").take(pa.array(r)),
                         pa.array(p),
                         pa.array(np.minimum(STRIDE, sizes[r] - p * STRIDE)),
                         _binary(cells[at : at + BATCH], len(r), cells.itemsize * STRIDE),
                     ],
-                    ["path", "block", "local", "doc_id", "part", "n_ids", "ids"],
+                    ["place", "doc_id", "part", "n_ids", "ids"],
                 )
 
     @F.pandas_udf("long")
@@ -218,12 +206,11 @@ def _write_training_order(docs: DataFrame, folder: str, vocabulary: str | None)
 
     files, root = _files(folder)
     files.create_dir(root, recursive=True)
-    cells = _by_split(docs).mapInArrow(
-        cut,
-        "path string, block long, local long, doc_id long, part long, n_ids long, ids binary",
+    based = rows.join(splits.select("task", "base"), "task").select(
+        (F.col("base") + F.col("first")).alias("first"), "doc_id", "ids"
     )
-    placed = cells.join(splits.select("path", "block", "base"), ["path", "block"])
-    placed = placed.withColumn("slot", slot_of(F.col("base") + F.col("local"))).select(
+    cells = based.mapInArrow(cut, "place long, doc_id long, part long, n_ids long, ids binary")
+    placed = cells.withColumn("slot", slot_of("place")).select(
         "slot",
         F.floor(F.col("slot") / SHARD).cast("long").alias("shard"),
         (F.col("slot") % SHARD * F.length("ids")).cast("long").alias("byte_offset"),
