@@ -38,7 +38,7 @@ def documents(duck):
 
 
 def test_query_names():
-    assert [k.split("_")[0] for k in llm.queries()] == [f"op{n}" for n in range(1, 11)] + ["pipeline"]
+    assert [k.split("_")[0] for k in llm.queries()] == [f"op{n}" for n in range(1, 14)] + ["pipeline"]
 
 
 def test_jaccard_query(spark, duck):
