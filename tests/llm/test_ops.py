@@ -81,15 +81,17 @@ def test_jaccard_components(spark, docs):
     assert len({c for _, n, c in got if n}) < len([1 for _, n, _ in got if n])
 
 
-def test_jaccard_without_star_rounds_and_with_repeats(spark, docs, monkeypatch):
-    monkeypatch.setattr(jaccard_join, "STARS", 0)
+def test_jaccard_in_blocks_and_with_repeats(spark, docs, monkeypatch):
+    monkeypatch.setattr(jaccard_join, "MEMBERS", 2)
     more = [*docs, *docs[:14], (None, docs[0][1]), (None, "lonely text of six words here"), (None, None)]
     got = rows_of(jaccard_join.jaccard_join(frame(spark, more)))
     assert by_key(got) == by_key(brute.jaccard_components(more))
 
 
-def test_jaccard_chain_across_leaders(spark):
+@pytest.mark.parametrize("members", [3, 512])
+def test_jaccard_chain_across_leaders(spark, monkeypatch, members):
     """Neighbours link, distant ones don't: one component by way of all."""
+    monkeypatch.setattr(jaccard_join, "MEMBERS", members)
     words = [f"w{i}" for i in range(220)]
     rows = [(i, " ".join(words[4 * i : 4 * i + 100])) for i in range(25)]
     got = rows_of(jaccard_join.jaccard_join(frame(spark, rows)))

@@ -10,11 +10,13 @@ sets that link share one of their first n - ceil(0.8 n) + 1 shingles, so only
 these *short lists* are shuffled, and only those of shingles that two classes
 have.
 
-Candidates come from the short lists without making all pairs of a list: in
-each of ``STARS`` rounds the list's leader (another one each time) is paired
-with the members outside of its component.  What links joins components, and
-lists within one component are done.  Then the pairs across components that
-are left are taken, so that no link between components is lost.
+Candidates come from the short lists without making all pairs of a list: first
+the list's leader is paired with its members.  The leader is the class that
+has the list's shingle earliest in its order, for its size: it has the fewest
+shingles of its own, as a text has from which the others were made.  What links
+joins components, and lists within one component are done.  Then the pairs
+across components that are left and that sizes and places allow are taken,
+block by block of a list, so that no link between components is lost.
 
 Candidates first pass a bit signature: sets that link differ in at most a
 ninth of their sizes' sum, and every bit in which the signatures differ is a
@@ -59,8 +61,10 @@ BUCKETS, AT_A_TIME = 1 << 18, 2_000_000
 SHINGLE_BITS, DOC_BITS = 26, 23
 #: Bits of a signature.
 SIGNATURE = 1024
-#: Rounds of leaders, members of a block, rows of a verifying task.
-STARS, BLOCK, TASK_ROWS = 3, 256, 1000
+#: Members of a block when sets are verified, rows of a verifying task.
+BLOCK, TASK_ROWS = 256, 1000
+#: Members of a block of a list that is left after its leader.
+MEMBERS = 512
 #: Cost of a merge step against a lookup, which sets the number of long lists.
 MU = 0.0085
 
@@ -231,6 +235,20 @@ def _verify_rows(rows: pd.DataFrame) -> pd.DataFrame:
     return pd.DataFrame(found, columns=["u", "v", "overlap"]).astype("int64")
 
 
+def _end(x: str, of: str = "") -> list[Column]:
+    """Class, size and place of a list's row as one end of a pair."""
+    return [F.col(f"{of}cid").alias(x), F.col(f"{of}n").alias(f"n{x}"), F.col(f"{of}pos").alias(f"p{x}")]
+
+
+def _able() -> Column:
+    """Sizes that can link, and enough shingles left after a first common one
+    at these places."""
+    left = F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
+    return (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb")) & (
+        (100 + PERCENT) * left >= PERCENT * (F.col("na") + F.col("nb"))
+    )
+
+
 def text_hash() -> Column:
     return F.xxhash64(F.coalesce("text", F.lit("")))
 
@@ -316,18 +334,22 @@ class ShingleJoin:
                     )
 
         schema = "k long, cid long, n long, pos long, sig binary"
-        raw = materialise(self.docs.mapInArrow(full, schema), "postings")
+        spark = self.docs.sparkSession
+        raw, raw_path = written(self.docs.mapInArrow(full, schema), "postings")
         signed = raw.where(F.col("sig").isNotNull()).select("cid", "n", "sig")
         self.signatures = materialise(signed.dropDuplicates(["cid"]), "signatures")
         entries = raw.where(F.col("k").isNotNull()).drop("sig").distinct()
-        entries = materialise(entries, "short-lists")
+        entries, entries_path = written(entries, "short-lists")
+        discard(spark, raw_path)
         several = (
             entries.groupBy("k")
             .agg(F.min("cid").alias("lo"), F.max("cid").alias("hi"))
             .where(F.col("lo") != F.col("hi"))
             .select("k")
         )
-        return materialise(entries.join(several, "k", "left_semi"), "shared-lists")
+        shared = materialise(entries.join(several, "k", "left_semi"), "shared-lists")
+        discard(spark, entries_path)
+        return shared
 
     def _passed(self, pairs: DataFrame) -> DataFrame:
         """The pairs whose signatures allow a link."""
@@ -337,10 +359,11 @@ class ShingleJoin:
         both = pairs.join(sign("b"), "b").join(sign("a"), "a")
         return both.mapInArrow(_may_link, "a long, b long")
 
-    def _sets(self, pairs: DataFrame) -> DataFrame:
-        """cid and the ordered set (8 bytes a shingle) of the pairs' classes."""
+    def _sets(self, pairs: DataFrame) -> tuple[DataFrame, str]:
+        """cid and the ordered set (8 bytes a shingle) of the pairs' classes, and
+        their folder."""
         classes = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid")))
-        wanted = materialise(classes.distinct(), "classes")
+        wanted, wanted_path = written(classes.distinct(), "classes")
         reps = self.rows.groupBy("cid").agg(F.min(id_or_null()).alias("x"))
         words = self.docs.sparkSession.sparkContext.broadcast(
             bit_map(reps.join(wanted, "cid", "left_semi").select("x"), DOC_BITS)
@@ -361,14 +384,18 @@ class ShingleJoin:
                 )
 
         sets = self.docs.mapInArrow(whole, "cid long, s binary").join(wanted, "cid", "left_semi")
-        return materialise(sets.dropDuplicates(["cid"]), "sets")
+        out = written(sets.dropDuplicates(["cid"]), "sets")
+        words.unpersist()
+        discard(self.docs.sparkSession, wanted_path)
+        return out
 
-    def _verified(self, pairs: DataFrame, n: int) -> DataFrame:
-        """Those of the n pairs (a, b) that link, as u, v, overlap."""
-        sets = self._sets(pairs)
+    def _verified(self, pairs: DataFrame, n: int) -> tuple[DataFrame, str]:
+        """Those of the n pairs (a, b) that link, as u and v, and their folder."""
+        spark = pairs.sparkSession
+        sets, sets_path = self._sets(pairs)
         size = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
         tasks = max(1, n // TASK_ROWS)
-        dealt = materialise(
+        dealt, dealt_path = written(
             pairs.join(size, "a").select(
                 "a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("blk")
             ),
@@ -381,109 +408,84 @@ class ShingleJoin:
         rows = members.unionByName(
             leaders.select(task, "a", F.col("a").alias("b"), "s")
         )
-        return rows.groupBy("task").applyInPandas(_verify_rows, "u long, v long, overlap long")
-
-    def _apart(self, pairs: DataFrame, comp: DataFrame) -> DataFrame:
-        """The pairs (a, b) of different components."""
-        of = lambda x: comp.select(F.col("node").alias(x), F.col("comp").alias(f"c{x}"))
-        both = pairs.join(of("a"), "a", "left").join(of("b"), "b", "left")
-        return both.where(F.coalesce("ca", "a") != F.coalesce("cb", "b")).select("a", "b")
+        found = rows.groupBy("task").applyInPandas(_verify_rows, "u long, v long, overlap long")
+        links = written(found.select("u", "v"), "links")
+        for path in (sets_path, dealt_path):
+            discard(spark, path)
+        return links
 
     def _linked(self, pairs: DataFrame, comp: DataFrame | None) -> DataFrame | None:
         """The components after trying ``pairs``."""
         spark = pairs.sparkSession
         passed, passed_path = written(self._passed(pairs), "passed-pairs")
         if n := passed.count():
-            found, found_path = written(self._verified(passed, n).select("u", "v"), "links")
+            found, found_path = self._verified(passed, n)
             if not found.isEmpty():
                 comp = components(found) if comp is None else joined_components(comp, found)
             discard(spark, found_path)
         discard(spark, passed_path)
         return comp
 
+    def _leader_pairs(self, lists: DataFrame) -> DataFrame:
+        """Every list's leader with the other members, as a and b."""
+        rank = F.struct(F.expr("pos / n").alias("at"), F.xxhash64("cid").alias("h"), "cid", "n", "pos")
+        lead = lists.groupBy("k").agg(F.min(rank).alias("l")).select("k", *_end("a", "l."))
+        both = lead.join(lists.select("k", *_end("b")), "k")
+        return both.where((F.col("a") != F.col("b")) & _able()).select("a", "b").distinct()
+
+    def _open_lists(self, lists: DataFrame, comp: DataFrame | None) -> DataFrame:
+        """The lists of more than two members that lie in several components:
+        k, cid, n, pos, comp and size."""
+        if comp is None:
+            labelled = lists.withColumn("comp", F.col("cid"))
+        else:
+            labelled = lists.join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
+                "comp", F.coalesce("comp", "cid")
+            )
+        several = (
+            labelled.groupBy("k")
+            .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("size"))
+            .where((F.col("lo") != F.col("hi")) & (F.col("size") > 2))
+            .select("k", "size")
+        )
+        return labelled.join(several, "k")
+
+    def _pairs_apart(self, lists: DataFrame) -> DataFrame:
+        """The pairs a < b of a list's members in different components.  A long
+        list is cut in blocks; two blocks meet in one group, so that no group
+        grows with its list."""
+        blocks = F.ceil(F.col("size") / MEMBERS).cast("int")
+        dealt = lists.select("k", "cid", "n", "pos", "comp", blocks.alias("of")).withColumn(
+            "own", F.pmod(F.xxhash64("cid"), F.col("of")).cast("int")
+        )
+        met = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("of") - 1))).withColumn(
+            "lo", F.least("own", "other")
+        ).withColumn("hi", F.greatest("own", "other"))
+        group = ["k", "lo", "hi"]
+        both = met.select(*group, *_end("a"), F.col("own").alias("oa"), F.col("comp").alias("ca")).join(
+            met.select(*group, *_end("b"), F.col("own").alias("ob"), F.col("comp").alias("cb")), group
+        )
+        # the groups of two blocks hold the pairs across, those of one block its own
+        apart = (F.col("ca") != F.col("cb")) & (F.col("a") < F.col("b"))
+        across = (F.col("lo") == F.col("hi")) | (F.col("oa") != F.col("ob"))
+        return both.where(apart & across & _able()).select("a", "b").distinct()
+
     def _components(self, lists: DataFrame) -> DataFrame | None:
         """node and comp of the classes that are linked."""
         if lists.isEmpty():
             return None
-        able = (
-            # sizes that can link, and enough shingles left after a first common one at these places
-            (100 * F.least("na", "nb") >= PERCENT * F.greatest("na", "nb"))
-            & (
-                (100 + PERCENT) * F.least(F.col("na") - F.col("pa"), F.col("nb") - F.col("pb"))
-                >= PERCENT * (F.col("na") + F.col("nb"))
-            )
-        )
-        spark, open_path = lists.sparkSession, None
-        comp, done, open_lists = None, None, lists.withColumn("comp", F.col("cid"))
-        for turn in range(STARS + 1):
-            if turn < STARS:
-                first = F.min(F.struct(F.xxhash64("cid", F.lit(turn)).alias("h"), "cid", "n", "pos", "comp"))
-                lead = open_lists.groupBy("k").agg(first.alias("l")).select(
-                    "k",
-                    F.col("l.cid").alias("a"),
-                    F.col("l.n").alias("na"),
-                    F.col("l.pos").alias("pa"),
-                    F.col("l.comp").alias("ca"),
-                )
-            else:
-                lead = open_lists.select(
-                    "k",
-                    F.col("cid").alias("a"),
-                    F.col("n").alias("na"),
-                    F.col("pos").alias("pa"),
-                    F.col("comp").alias("ca"),
-                )
-            member = open_lists.select(
-                "k",
-                F.col("cid").alias("b"),
-                F.col("n").alias("nb"),
-                F.col("pos").alias("pb"),
-                F.col("comp").alias("cb"),
-            )
-            apart = F.col("ca") != F.col("cb")
-            if turn == STARS:  # each pair once
-                apart = apart & (F.col("a") < F.col("b"))
-            pairs = lead.join(member, "k").where(apart & able).select("a", "b").distinct()
-            if done is not None:
-                turned = done.select(F.col("b").alias("a"), F.col("a").alias("b"))
-                pairs = pairs.join(done.unionByName(turned), ["a", "b"], "left_anti")
-            pairs = materialise(pairs, "candidate-pairs")
-            done = pairs if done is None else done.unionByName(pairs)
-            # one leader for each member first; what that joins needs no other
-            best = pairs.groupBy("b").agg(
-                F.min(F.struct(F.xxhash64("a", F.lit(turn)).alias("h"), "a")).alias("l")
-            )
-            best, best_path = written(best.select("l.a", "b"), "first-pairs")
-            rest = pairs.join(best, ["a", "b"], "left_anti")
-            for tried in (best, rest):
-                tried_path = None
-                if comp is not None:
-                    tried, tried_path = written(self._apart(tried, comp), "tried-pairs")
-                comp = self._linked(tried, comp)
-                if tried_path:
-                    discard(spark, tried_path)
-            discard(spark, best_path)
-            if comp is None:
-                continue
-            if turn == 0:  # lists of two are done
-                sizes = lists.groupBy("k").count().where("count > 2").select("k")
-                lists = materialise(lists.join(sizes, "k", "left_semi"), "longer-lists")
-            if turn == STARS:
-                break
-            labelled = lists.join(comp.withColumnRenamed("node", "cid"), "cid", "left").withColumn(
-                "comp", F.coalesce("comp", "cid")
-            )
-            mixed = (
-                labelled.groupBy("k")
-                .agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"))
-                .where(F.col("lo") != F.col("hi"))
-                .select("k")
-            )
-            last, (open_lists, open_path) = open_path, written(labelled.join(mixed, "k", "left_semi"), "open-lists")
-            if last:
-                discard(spark, last)
-            if open_lists.isEmpty():
-                break
+        spark = lists.sparkSession
+        led, led_path = written(self._leader_pairs(lists), "leader-pairs")
+        comp = self._linked(led, None)
+        rest, rest_path = written(self._open_lists(lists, comp), "open-lists")
+        if not rest.isEmpty():
+            turned = led.select(F.col("b").alias("a"), F.col("a").alias("b"))
+            left = self._pairs_apart(rest).join(led.unionByName(turned), ["a", "b"], "left_anti")
+            pairs, pairs_path = written(left, "pairs-apart")
+            comp = self._linked(pairs, comp)
+            discard(spark, pairs_path)
+        discard(spark, led_path)
+        discard(spark, rest_path)
         return comp
 
     def _with_components(self, comp: DataFrame | None) -> DataFrame:
