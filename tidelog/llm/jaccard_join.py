@@ -50,7 +50,16 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelog.llm.common import NULL_ID, discard, id_or_null, materialise, prepare, table, written
+from tidelog.llm.common import (
+    NULL_ID,
+    discard,
+    id_or_null,
+    materialise,
+    prepare,
+    swept_shuffles,
+    table,
+    written,
+)
 from tidelog.llm.components import components, joined_components
 from tidelog.llm.shingles import mix, shingle_sets
 
@@ -146,10 +155,11 @@ def bit_map(values: DataFrame, bits: int) -> np.ndarray:
             yield pd.DataFrame({"bit": np.concatenate(_bits(f["x"].to_numpy(np.int64), bits))})
 
     rows = values.select("x").mapInPandas(places, "bit long")
-    words = rows.groupBy(F.shiftright("bit", 6).alias("w")).agg(
-        F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("b")
-    )
-    got = words.toArrow()
+    with swept_shuffles(values.sparkSession):
+        words = rows.groupBy(F.shiftright("bit", 6).alias("w")).agg(
+            F.bit_or(F.expr("shiftleft(1L, cast(bit & 63 as int))")).alias("b")
+        )
+        got = words.toArrow()
     out = np.zeros(1 << (bits - 6), np.uint64)
     out[got.column("w").to_numpy()] = got.column("b").to_numpy().view(np.uint64)
     return out
@@ -275,7 +285,8 @@ class ShingleJoin:
         return self._with_components(self._components(lists))
 
     def _levels(self, counts: DataFrame) -> np.ndarray:
-        total = counts.groupBy("bucket").agg(F.sum("c").alias("c")).toArrow()
+        with swept_shuffles(counts.sparkSession):
+            total = counts.groupBy("bucket").agg(F.sum("c").alias("c")).toArrow()
         levels = np.zeros(BUCKETS, np.uint8)
         c = total.column("c").to_numpy()
         levels[total.column("bucket").to_numpy()] = np.minimum(np.log2(c).astype(np.uint8), 63)
@@ -359,14 +370,13 @@ class ShingleJoin:
         both = pairs.join(sign("b"), "b").join(sign("a"), "a")
         return both.mapInArrow(_may_link, "a long, b long")
 
-    def _sets(self, pairs: DataFrame) -> tuple[DataFrame, str]:
-        """cid and the ordered set (8 bytes a shingle) of the pairs' classes, and
-        their folder."""
-        classes = pairs.select(F.col("a").alias("cid")).unionByName(pairs.select(F.col("b").alias("cid")))
-        wanted, wanted_path = written(classes.distinct(), "classes")
+    def _sets(self, needs: DataFrame):
+        """cid and the ordered set (8 bytes a shingle), once each, of the classes
+        in ``needs``, and of a few others that the bit map lets through; and
+        that map's broadcast."""
         reps = self.rows.groupBy("cid").agg(F.min(id_or_null()).alias("x"))
         words = self.docs.sparkSession.sparkContext.broadcast(
-            bit_map(reps.join(wanted, "cid", "left_semi").select("x"), DOC_BITS)
+            bit_map(reps.join(needs, "cid", "left_semi").select("x"), DOC_BITS)
         )
         levels = self.levels
 
@@ -383,35 +393,29 @@ class ShingleJoin:
                     ["cid", "s"],
                 )
 
-        sets = self.docs.mapInArrow(whole, "cid long, s binary").join(wanted, "cid", "left_semi")
-        out = written(sets.dropDuplicates(["cid"]), "sets")
-        words.unpersist()
-        discard(self.docs.sparkSession, wanted_path)
-        return out
+        return self.docs.mapInArrow(whole, "cid long, s binary").dropDuplicates(["cid"]), words
 
     def _verified(self, pairs: DataFrame, n: int) -> tuple[DataFrame, str]:
         """Those of the n pairs (a, b) that link, as u and v, and their folder."""
         spark = pairs.sparkSession
-        sets, sets_path = self._sets(pairs)
         size = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("long").alias("blocks"))
-        tasks = max(1, n // TASK_ROWS)
         dealt, dealt_path = written(
             pairs.join(size, "a").select(
                 "a", "b", F.pmod(F.xxhash64("b"), F.col("blocks")).alias("blk")
             ),
             "dealt-pairs",
         )
-        task = F.pmod(F.xxhash64("a", "blk"), F.lit(tasks)).alias("task")
-        s = sets.withColumnRenamed("cid", "b")
-        members = dealt.join(s, "b").select(task, "a", "b", "s")
-        leaders = dealt.select("a", "blk").distinct().join(sets.withColumnRenamed("cid", "a"), "a")
-        rows = members.unionByName(
-            leaders.select(task, "a", F.col("a").alias("b"), "s")
-        )
+        members = dealt.select(F.col("b").alias("cid"), "a", "blk")
+        needs = members.unionByName(dealt.select(F.col("a").alias("cid"), "a", "blk").distinct())
+        # the sets aren't written: they are dealt by class, where each meets its
+        # pairs, and from there to the tasks
+        sets, words = self._sets(needs)
+        task = F.pmod(F.xxhash64("a", "blk"), F.lit(max(1, n // TASK_ROWS))).alias("task")
+        rows = sets.join(needs, "cid").select(task, "a", F.col("cid").alias("b"), "s")
         found = rows.groupBy("task").applyInPandas(_verify_rows, "u long, v long, overlap long")
         links = written(found.select("u", "v"), "links")
-        for path in (sets_path, dealt_path):
-            discard(spark, path)
+        words.unpersist()
+        discard(spark, dealt_path)
         return links
 
     def _linked(self, pairs: DataFrame, comp: DataFrame | None) -> DataFrame | None:
