@@ -10,7 +10,10 @@ number of sequences, so that every sequence gets its own slot below that
 number.  The rows are dealt by ranges of shards, ``SHARD`` slots each, and each
 task writes its shards in slot order as files without headers: slot s is
 found at byte (s mod SHARD) * STRIDE * width of file s div SHARD, so reading
-is sequential and can go on at any slot.
+is sequential and can go on at any slot.  The shards are written in at most
+``PASSES`` passes over the stored ids, each over as many of them: a pass
+shuffles only its own sequences, and its shuffle files are deleted before the
+next one, so that disk holds the ids, the shards and a part of the shuffle.
 
 Each task checks that its shards' slots are dense, and the manifest is
 compared with the count.  A shard is written under a name of its own attempt
@@ -24,9 +27,9 @@ an empty result.  Only doc_id and text are read.
 from __future__ import annotations
 
 import uuid
+from functools import reduce
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyarrow import fs as pafs
 from pyspark import TaskContext
@@ -34,7 +37,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelog.llm.bpe import codec, vocabulary_path
-from tidelog.llm.common import materialise, table
+from tidelog.llm.common import discard, materialise, table, written
 from tidelog.session import scratch_path
 
 STRIDE, END_ID, PAD_ID = 512, 50256, 0
@@ -42,6 +45,8 @@ STRIDE, END_ID, PAD_ID = 512, 50256, 0
 SHARD, KEY, ROUNDS = 8192, 20260101, 6
 #: Tasks that write or read shards; beyond it a task takes a range of several.
 MOST_TASKS = 20_000
+#: Passes in which the shards are written.
+PASSES = 4
 #: File of the number of sequences, written when all shards are complete.
 TOTAL = "sequences"
 #: Sequences of an Arrow batch.
@@ -99,10 +104,11 @@ def _binary(cells: np.ndarray | bytes, n: int, size: int) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), n, [None, pa.py_buffer(offsets), pa.py_buffer(cells)])
 
 
-def encoded_rows(docs: DataFrame, vocabulary: str) -> DataFrame:
+def encoded_rows(docs: DataFrame, vocabulary: str) -> tuple[DataFrame, str]:
     """Every row's ids, written once: task, first (sequences of the task before
-    this row's), n (its sequences), doc_id, ids.  A retried task's rows are
-    those of the attempt that was committed, so places never mix."""
+    this row's), n (its sequences), doc_id, ids; and their folder.  A retried
+    task's rows are those of the attempt that was committed, so places never
+    mix."""
 
     def encode(batches):
         c, before, task = codec(vocabulary), 0, TaskContext.get().partitionId()
@@ -124,7 +130,7 @@ def encoded_rows(docs: DataFrame, vocabulary: str) -> DataFrame:
             )
 
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return materialise(
+    return written(
         rows.mapInArrow(encode, "task long, first long, n long, doc_id long, ids binary"), "encoded-rows"
     )
 
@@ -143,34 +149,35 @@ def write_training_order(docs: DataFrame, folder: str, vocabulary: str | None =
     share) and returns the manifest: slot, shard, byte_offset, doc_id, part,
     n_ids."""
     words = vocabulary or vocabulary_path()
-    rows = encoded_rows(docs, words)
+    spark = docs.sparkSession
+    rows, rows_path = encoded_rows(docs, words)
     splits = split_counts(rows)
     total = splits.agg(F.sum("n")).first()[0] or 0
 
-    def cut(batches):
+    def cut(batches, first_slot, end_slot):
+        """The sequences with slots in this range."""
         width = _width(codec(words))
         for b in batches:
             cells, sizes, counts = _cells(b.column("ids").to_pylist(), width)
             first = b.column("first").to_numpy()
             row = np.repeat(np.arange(len(counts)), counts)
             part = np.arange(len(row)) - np.repeat(np.cumsum(counts) - counts, counts)
-            for at in range(0, len(row), BATCH):
-                r, p = row[at : at + BATCH], part[at : at + BATCH]
+            slot = feistel(first[row] + part, total)
+            own = np.flatnonzero((slot >= first_slot) & (slot < end_slot))
+            for at in range(0, len(own), BATCH):
+                i = own[at : at + BATCH]
+                r, p = row[i], part[i]
                 yield pa.RecordBatch.from_arrays(
                     [
-                        pa.array(first[r] + p),
+                        pa.array(slot[i]),
                         b.column("doc_id").take(pa.array(r)),
                         pa.array(p),
                         pa.array(np.minimum(STRIDE, sizes[r] - p * STRIDE)),
-                        _binary(cells[at : at + BATCH], len(r), cells.itemsize * STRIDE),
+                        _binary(cells[i], len(i), cells.itemsize * STRIDE),
                     ],
-                    ["place", "doc_id", "part", "n_ids", "ids"],
+                    ["slot", "doc_id", "part", "n_ids", "ids"],
                 )
 
-    @F.pandas_udf("long")
-    def slot_of(places: pd.Series) -> pd.Series:
-        return pd.Series(feistel(places.to_numpy(), total))
-
     def write(batches):
         files, root = _files(folder)
         out, shard, name, ahead = None, None, None, 0
@@ -209,25 +216,38 @@ def write_training_order(docs: DataFrame, folder: str, vocabulary: str | None =
     based = rows.join(splits.select("task", "base"), "task").select(
         (F.col("base") + F.col("first")).alias("first"), "doc_id", "ids"
     )
-    cells = based.mapInArrow(cut, "place long, doc_id long, part long, n_ids long, ids binary")
-    placed = cells.withColumn("slot", slot_of("place")).select(
-        "slot",
-        F.floor(F.col("slot") / SHARD).cast("long").alias("shard"),
-        (F.col("slot") % SHARD * F.length("ids")).cast("long").alias("byte_offset"),
-        "doc_id",
-        "part",
-        "n_ids",
-        "ids",
-    )
-    # slots are dense, so shards are even: task t takes the t-th range of them
     shards = max(1, -(-total // SHARD))
-    each = -(-shards // MOST_TASKS)
-    task = F.floor(F.col("shard") / each).cast("int")
-    dealt = placed.repartitionById(-(-shards // each), task).sortWithinPartitions("slot")
-    written = dealt.mapInArrow(
-        write, "slot long, shard long, byte_offset long, doc_id long, part long, n_ids long"
-    )
-    manifest = materialise(written, "manifest")
+    per_pass = -(-shards // PASSES)
+
+    def written_pass(low):
+        """Writes up to ``per_pass`` shards from ``low`` on; their manifest."""
+        here = min(per_pass, shards - low)
+        ends = low * SHARD, (low + here) * SHARD
+        placed = based.mapInArrow(
+            lambda batches: cut(batches, *ends), "slot long, doc_id long, part long, n_ids long, ids binary"
+        ).select(
+            "slot",
+            F.floor(F.col("slot") / SHARD).cast("long").alias("shard"),
+            (F.col("slot") % SHARD * F.length("ids")).cast("long").alias("byte_offset"),
+            "doc_id",
+            "part",
+            "n_ids",
+            "ids",
+        )
+        # slots are dense, so shards are even: task t takes the t-th range of them
+        each = -(-here // MOST_TASKS)
+        task = F.floor((F.col("shard") - low) / each).cast("int")
+        dealt = placed.repartitionById(-(-here // each), task).sortWithinPartitions("slot")
+        return materialise(
+            dealt.mapInArrow(
+                write, "slot long, shard long, byte_offset long, doc_id long, part long, n_ids long"
+            ),
+            "manifest",
+        )
+
+    parts = [written_pass(low) for low in range(0, shards, per_pass)]
+    discard(spark, rows_path)
+    manifest = reduce(DataFrame.unionAll, parts)
     if (n := manifest.count()) != total:
         raise RuntimeError(f"{n} sequences written, {total} counted")
     with files.open_output_stream(f"{root}/{TOTAL}") as f:
