@@ -13,6 +13,7 @@ from tokenizers import Tokenizer
 
 from tests.llm import brute
 from tidelog.llm import shingles as sh
+from tidelog.llm import column_bwt
 from tidelog.llm import suffix_dedup as sd
 from tidelog.llm.adaptive_ann import rotation, scan_block
 from tidelog.llm.bpe import codec, vocabulary_path
@@ -90,6 +91,58 @@ def test_column_wise_windows(strings, width):
     assert len(of) == len(set(want.values()))
 
 
+def test_transform_sorts_only_the_rows_that_wait(monkeypatch):
+    """A round's work doesn't grow with the rows of the transform."""
+    rng = random.Random(7)
+    strings = [bytes(rng.choices(b"abc", k=129)) for _ in range(40)]
+    sorted_rows, argsort = [], np.argsort
+
+    def counted(x, *args, **kwargs):
+        sorted_rows.append(len(x))
+        return argsort(x, *args, **kwargs)
+
+    monkeypatch.setattr(np, "argsort", counted)
+    equal_windows(strings, 66)
+    assert sum(sorted_rows) < 10 * sum(map(len, strings))
+
+
+@pytest.mark.parametrize("columns, compared", [(1, 1), (2, 3), (5, 1 << 16), (300, 7)])
+def test_windows_at_any_number_of_waiting_columns(columns, compared, monkeypatch):
+    monkeypatch.setattr(column_bwt, "COLUMNS", columns)
+    monkeypatch.setattr(column_bwt, "COMPARED", compared)
+    rng = random.Random(8)
+    for _ in range(20):
+        strings = [bytes(rng.choices([0, 97, 255], k=rng.randint(0, 40))) for _ in range(rng.randint(1, 9))]
+        who, offset, group = equal_windows(strings, 4)
+        got = {(i, o): g for i, o, g in zip(who.tolist(), offset.tolist(), group.tolist())}
+        want = {(i, o): s[o : o + 4] for i, s in enumerate(strings) for o in range(len(s) - 3)}
+        assert set(got) == set(want)
+        assert len(set(got.values())) == len(set(want.values())) == len({(got[k], want[k]) for k in got})
+
+
+def _contexts(anchors, rng):
+    """Three contexts of each anchor, the last two with a window in common;
+    all anchors have the same bytes around them."""
+    around = [bytes(rng.choices(b"xyz", k=64)) for _ in range(4)]
+    rows = []
+    for i, a in enumerate(anchors):
+        for doc, (x, y) in enumerate([(0, 1), (2, 3), (2, 3)]):
+            s = around[x] + a + around[y] if doc < 2 else around[x][-50:] + a + around[y][:60]
+            left = 64 if doc < 2 else 50
+            rows.append((i, 10 - doc, -doc, (1000 * i + left) << 16 | left << 8 | len(s) - left, s))
+    return pd.DataFrame(rows, columns=["anchor", "doc", "th", "at", "s"])
+
+
+def test_anchors_beyond_the_free_bytes_share_a_collection():
+    rng = random.Random(9)
+    rows = _contexts([bytes(rng.choices(b"abc", k=sd.GRAM)) for _ in range(300)], rng)
+    assert [len(x) for x, _ in sd._collections(rows)] == [600]
+    got = sd._repeats(rows)
+    # the document with the smaller id, 8, starts earlier: 9 loses what 8 holds
+    want = [(9, -1, 1000 * i + 14, 1000 * i + 64 + sd.GRAM + 60) for i in range(300)]
+    assert sorted(map(tuple, got.to_numpy().tolist())) == sorted(want)
+
+
 @pytest.mark.parametrize("n", [1, 2, 3, 100, 1023, 1024, 1025, 40_000])
 def test_feistel_permutes(n):
     slots = feistel(np.arange(n), n)

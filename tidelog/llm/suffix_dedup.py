@@ -14,7 +14,7 @@ one).
 * Column-wise construction: the first contexts of the classes of an anchor
   are put together, and a task builds the Burrows-Wheeler transform and
   common prefixes of its collections column by column, one symbol of every
-  context a round (``column_bwt``).  The anchor counts as one symbol.
+  context a round (``column_bwt``).  The anchor counts as two symbols.
   Neighbours with a common prefix of WIDTH bytes are equal windows; all but
   the earliest are removed.
 
@@ -24,7 +24,7 @@ earliest of each is found by a map-side combined minimum.
 
 The documents themselves are too long for a construction with a round for
 every symbol (each round rewrites the whole transform); the contexts have at
-most 2 * BEFORE + 1 symbols, and since a collection is bounded, its transform
+most 2 * BEFORE + 2 symbols, and since a collection is bounded, its transform
 is held in memory rather than in external files.
 
 Anchors, contexts and windows in the hot case are told apart by 64-bit
@@ -67,14 +67,12 @@ _PLACE = np.uint64((1 << 21) - 1)  # places within a part
 
 
 def _minima(x: np.ndarray, w: int) -> np.ndarray:
-    """Minimum of every w neighbours, from running minima of blocks of w."""
-    n = len(x) - w + 1
-    padded = np.full(-(-len(x) // w) * w, np.iinfo(np.uint64).max, np.uint64)
-    padded[: len(x)] = x
-    blocks = padded.reshape(-1, w)
-    ahead = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].reshape(-1)
-    so_far = np.minimum.accumulate(blocks, axis=1).reshape(-1)
-    return np.minimum(ahead[:n], so_far[w - 1 : w - 1 + n])
+    """Minimum of every w neighbours, from those of 2, 4, 8... neighbours."""
+    n, k = len(x) - w + 1, 1
+    while 2 * k <= w:
+        x = np.minimum(x[:-k], x[k:])
+        k *= 2
+    return np.minimum(x[:n], x[w - k : w - k + n])
 
 
 class Part:
@@ -93,18 +91,19 @@ class Part:
         up, self.down = powers(n)
         self.sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(_BYTES[data] * up[:n])])
         grams = mix((self.sums[GRAM:] - self.sums[:-GRAM]) * self.down[: n - GRAM + 1])
-        places = np.arange(len(grams), dtype=np.uint64)
-        least = _minima((grams & ~_PLACE) | (_PLACE - places), BEFORE + 1)
-        # windows within one text and the core
-        step = np.zeros(n + 2, np.int32)
+        least = grams | _PLACE
+        least -= np.arange(len(grams), dtype=np.uint64)
+        least = _minima(least, BEFORE + 1)
+        # the first of the windows of an anchor, within one text and the core
         lo = np.maximum(bounds[:-1], core[0])
         hi = np.minimum(bounds[1:] - WIDTH + 1, core[1])
-        full = hi > lo
-        np.add.at(step, lo[full], 1)
-        np.add.at(step, hi[full], -1)
-        inside = np.cumsum(step)[: len(least)] > 0
-        at = (_PLACE - (least[inside] & _PLACE)).astype(np.int64)
-        self.at = at[np.concatenate([[True], at[1:] != at[:-1]])] if len(at) else at
+        lo, hi = lo[hi > lo], hi[hi > lo]
+        new = np.concatenate([[True], least[1:] != least[:-1]])
+        new[lo] = True
+        new = np.flatnonzero(new)
+        text = np.searchsorted(lo, new, "right") - 1
+        new = new[(text >= 0) & (new < np.append(hi, 0)[text])]
+        self.at = (_PLACE - (least[new] & _PLACE)).astype(np.int64)
         self.anchor = grams[self.at].view(np.int64)
         self.doc = np.searchsorted(bounds, self.at, "right") - 1
         self.lo = np.maximum(bounds[self.doc], self.at - BEFORE)
@@ -325,23 +324,23 @@ def _with_a_half(rows: pd.DataFrame) -> pd.DataFrame:
 
 def _collections(rows: pd.DataFrame):
     """The task's contexts in collections: their rows, and the contexts with
-    a byte that occurs in none of the texts in place of the anchor, another
-    one for each anchor of the collection."""
+    two bytes that occur in none of the texts in place of the anchor, another
+    pair for each anchor of the collection."""
     rows = _with_a_half(rows)
     if rows.empty:
         return
     rows = rows.sort_values("anchor", kind="stable").reset_index(drop=True)
     free = np.flatnonzero(np.bincount(np.frombuffer(b"".join(rows["s"]), np.uint8), minlength=256) == 0)
     number = (rows["anchor"] != rows["anchor"].shift()).cumsum().to_numpy() - 1
-    left = rows["at"].to_numpy() >> 8 & 0xFF
-    contexts = [
-        s[:x] + bytes([free[n % len(free)]]) + s[x + GRAM :] for s, x, n in zip(rows["s"], left, number)
-    ]
+    left = (rows["at"].to_numpy() >> 8 & 0xFF).tolist()
+    marks = free[np.stack([number // len(free), number], 1) % len(free)].astype(np.uint8)
+    contexts = [s[:x] + m.tobytes() + s[x + GRAM :] for s, x, m in zip(rows["s"], left, marks)]
     at = 0
     while at < len(rows):
-        to = int(np.searchsorted(number, number[at] + len(free)))
-        more = int(np.searchsorted(number, number[min(at + TOGETHER, len(rows) - 1)]))
-        to = min(to, max(more, int(np.searchsorted(number, number[at], "right"))))
+        # whole anchors
+        more = int(np.searchsorted(number, number[at + TOGETHER])) if at + TOGETHER < len(rows) else len(rows)
+        more = max(more, int(np.searchsorted(number, number[at], "right")))
+        to = min(more, int(np.searchsorted(number, number[at] + len(free) ** 2)))
         yield rows.iloc[at:to], contexts[at:to]
         at = to
 
@@ -354,29 +353,25 @@ def _repeats(rows: pd.DataFrame) -> pd.DataFrame:
 
 
 def _repeats_of(rows: pd.DataFrame, contexts: list[bytes]) -> pd.DataFrame:
-    who, offset, group = equal_windows(contexts, WIDTH - GRAM + 1)
-    at = rows["at"].to_numpy()
-    f = pd.DataFrame(
-        {
-            "doc": rows["doc"].to_numpy()[who],
-            "th": rows["th"].to_numpy()[who],
-            "a": ((at >> 16) - (at >> 8 & 0xFF))[who] + offset,
-            "who": who,
-            "group": group,
-        }
-    ).sort_values(["group", "doc", "th", "a"], kind="stable")
-    new = f["group"].to_numpy() != f["group"].shift().to_numpy()
-    first = f.iloc[np.flatnonzero(new)[np.cumsum(new) - 1]]
-    late = np.zeros(len(f), bool)
-    for c in ("doc", "th", "a"):
-        late |= f[c].to_numpy() != first[c].to_numpy()
-    f = f[late].sort_values(["who", "a"], kind="stable")
+    who, offset, group = equal_windows(contexts, WIDTH - GRAM + 2)
+    doc, th, at = (rows[c].to_numpy(np.int64) for c in ("doc", "th", "at"))
+    start = (at >> 16) - (at >> 8 & 0xFF)
+    # a number that orders the windows' places (texts are shorter than 2^31)
+    order = np.lexsort((th, doc))
+    other = (np.diff(doc[order]) != 0) | (np.diff(th[order]) != 0)
+    text = np.empty(len(rows), np.int64)
+    text[order] = np.cumsum(np.concatenate([[False], other]))
+    place = text[who] << 32 | start[who] + offset
+    new = np.flatnonzero(np.diff(group, prepend=0))
+    first = np.minimum.reduceat(place, new) if len(new) else place
+    late = np.flatnonzero(place > first[group - 1])
+    window = np.sort(who[late] << 16 | offset[late])
     # windows at neighbouring places make one span
-    head = ((f["who"] != f["who"].shift()) | (f["a"] != f["a"].shift() + 1)).to_numpy()
-    tail = np.concatenate([head[1:], [True]]) if len(head) else head
-    out = f[head][["doc", "th", "a"]].reset_index(drop=True)
-    out["b"] = f["a"].to_numpy()[tail] + WIDTH
-    return out.astype("int64")
+    head = np.diff(window, prepend=-2) != 1
+    tail = np.append(head[1:], True)[: len(head)]
+    who, a = window[head] >> 16, window[head] & 0xFFFF
+    b = (window[tail] & 0xFFFF) + WIDTH
+    return pd.DataFrame({"doc": doc[who], "th": th[who], "a": start[who] + a, "b": start[who] + b})
 
 
 def merged_spans(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
